@@ -48,12 +48,17 @@ def with_text(t: Tables) -> DataFrame:
     return t.parts.filter(F.col("text_part").isNotNull()).select("refs_key").distinct()
 
 
-def omit_set(t: Tables, rules: Rules) -> DataFrame:
-    """Articles whose label is doubtful, as distinct (refs_key, pubmed).
+def _with_status(refs: DataFrame, t: Tables) -> DataFrame:
+    return refs.join(t.status.withColumn("has_status", F.lit(True)), "refs_key", "left")
+
+
+def _with_omit_flag(articles: DataFrame, t: Tables, rules: Rules) -> DataFrame:
+    """Add ``omitted``: the label is doubtful.
 
     Either indexed for GO by a loader or created by the GOA load, from the start
     date on, with no other group selecting it; or discarded with the tag for
-    "mice in references only", whatever its date.
+    "mice in references only", whatever its date. Only articles with a status,
+    a current workflow row and an ID can be omitted.
     """
     current = (
         t.wf_status.filter(F.col("iscurrent") == 1)
@@ -70,47 +75,64 @@ def omit_set(t: Tables, rules: Rules) -> DataFrame:
         t.tags.filter(F.col("tag_key") == F.lit(rules.refs_only_tag))
         .select("refs_key", F.lit(True).alias("tagged")).distinct()
     )
+    identified = article_ids(t, rules).select("refs_key", F.lit(True).alias("identified")).distinct()
+
+    loaded = F.col("loader_indexed") | (F.col("createdby_key") == F.lit(rules.goa_creator))
     others_unselected = F.lit(True)
     for group in ("ap", "gxd", "tumor", "qtl"):
         others_unselected &= F.col(GROUP_COLUMNS[group]).isin(*rules.not_selected)
-    loaded = F.col("loader_indexed") | (F.col("createdby_key") == F.lit(rules.goa_creator))
-
+    doubtful = (loaded & others_unselected & (F.col("creation_date") >= _at(rules.start_date))) | (
+        (F.col("isdiscard") == 1) & F.col("tagged")
+    )
+    eligible = F.col("has_status") & F.col("loader_indexed").isNotNull() & F.col("identified")
     return (
-        t.refs.select("refs_key", "createdby_key", "creation_date", "isdiscard")
-        .join(current, "refs_key")
-        .join(t.status, "refs_key")
+        articles.join(current, "refs_key", "left")
         .join(tagged, "refs_key", "left")
-        .filter(
-            (loaded & others_unselected & (F.col("creation_date") >= _at(rules.start_date)))
-            | ((F.col("isdiscard") == 1) & F.col("tagged"))
-        )
+        .join(identified, "refs_key", "left")
+        .withColumn("omitted", F.coalesce(eligible & doubtful, F.lit(False)))
+        .drop("loader_indexed", "tagged", "identified")
+    )
+
+
+def omit_set(t: Tables, rules: Rules) -> DataFrame:
+    """Articles left out of training sets, as distinct (refs_key, pubmed)."""
+    refs = t.refs.select("refs_key", "createdby_key", "creation_date", "isdiscard")
+    return (
+        _with_omit_flag(_with_status(refs, t), t, rules)
+        .filter("omitted")
         .select("refs_key")
         .join(article_ids(t, rules), "refs_key")
     )
 
 
-def _keys(t: Tables, creator: Column | None) -> DataFrame:
-    refs = t.refs if creator is None else t.refs.filter(creator)
-    return refs.select("refs_key", "creation_date").join(with_text(t), "refs_key", "left_semi")
-
+# base name -> condition on the creating user, and whether doubtful articles are left out
+BASES: dict[str, tuple[Callable[[Rules], Column], bool]] = {
+    "triage": (lambda r: F.col("createdby_key") != F.lit(r.discard_creator), True),
+    "backpopulated": (lambda r: F.col("createdby_key") == F.lit(r.discard_creator), True),
+    "group": (lambda r: F.lit(True), False),
+}
 
-def base_set(t: Tables, rules: Rules) -> DataFrame:
-    """Articles with text, not from the discard loader, not in the omit set."""
-    return _keys(t, F.col("createdby_key") != F.lit(rules.discard_creator)).join(
-        omit_set(t, rules), "refs_key", "left_anti"
-    )
 
+def base_articles(t: Tables, rules: Rules, base: str = "triage",
+                  restrict: bool = False) -> DataFrame:
+    """Article rows with text that belong to a base, with their status columns.
 
-def backpopulated_set(t: Tables, rules: Rules) -> DataFrame:
-    """As :func:`base_set`, but only articles of the discard loader."""
-    return _keys(t, F.col("createdby_key") == F.lit(rules.discard_creator)).join(
-        omit_set(t, rules), "refs_key", "left_anti"
-    )
+    Each table is read once and everything joins on the article key, so callers
+    can filter the result further and have that reach the scan.
+    """
+    creator, leave_out = BASES[base]
+    refs = t.refs.filter(creator(rules))
+    if restrict:
+        refs = refs.filter(_restriction(rules))
+    articles = _with_status(refs.join(with_text(t), "refs_key", "left_semi"), t)
+    if leave_out:
+        articles = _with_omit_flag(articles, t, rules).filter(~F.col("omitted")).drop("omitted")
+    return articles
 
 
-def group_base_set(t: Tables) -> DataFrame:
-    """All articles with text: the base of the curation-group searches."""
-    return _keys(t, None)
+def base_set(t: Tables, rules: Rules, base: str = "triage") -> DataFrame:
+    """(refs_key, creation_date) of the articles of a base."""
+    return base_articles(t, rules, base).select("refs_key", "creation_date")
 
 
 # -- subset conditions -------------------------------------------------------
@@ -217,9 +239,8 @@ def _restriction(rules: Rules) -> Column:
     return (F.col("ref_type_key") == F.lit(rules.peer_reviewed)) & (F.col("isreview") != 1)
 
 
-def _scoped(t: Tables, base: DataFrame, rules: Rules, restrict: bool) -> DataFrame:
-    refs = t.refs.filter(_restriction(rules)) if restrict else t.refs
-    return refs.join(base.select("refs_key"), "refs_key", "left_semi").join(t.status, "refs_key")
+def _scoped(t: Tables, rules: Rules, base: str, restrict: bool) -> DataFrame:
+    return base_articles(t, rules, base, restrict).filter("has_status")
 
 
 def _project(articles: DataFrame, t: Tables, rules: Rules, preferred_only: bool,
@@ -241,11 +262,10 @@ def _project(articles: DataFrame, t: Tables, rules: Rules, preferred_only: bool,
     ).select(*labels, *PROJECTION)
 
 
-def subset_records(t: Tables, rules: Rules, subset: str | None, base: DataFrame | None = None,
+def subset_records(t: Tables, rules: Rules, subset: str | None, base: str = "triage",
                    restrict: bool = True, limit: int = 0) -> DataFrame:
     """Article records of a primary-triage subset (``None``: of the whole base)."""
-    base = base_set(t, rules) if base is None else base
-    articles = _scoped(t, base, rules, restrict)
+    articles = _scoped(t, rules, base, restrict)
     if subset is not None:
         articles = articles.filter(SUBSETS[subset](rules))
     return _project(articles, t, rules, True, limit, [])
@@ -258,7 +278,7 @@ def group_records(t: Tables, rules: Rules, group: str, search: str, restrict: bo
     Unlike the triage subsets these accept any, not only the preferred, ID.
     """
     condition = search_condition(group, search, rules)
-    articles = _scoped(t, group_base_set(t), rules, restrict)
+    articles = _scoped(t, rules, "group", restrict)
     if group == "go" and search != "unselected_after":
         articles = articles.join(go_curated(t, rules), "refs_key", "left_semi").withColumn(
             "go_curated", F.lit(True)
@@ -273,7 +293,7 @@ def group_records(t: Tables, rules: Rules, group: str, search: str, restrict: bo
 
 def subset_counts(t: Tables, rules: Rules, restrict: bool = True) -> DataFrame:
     """(subset, num) for the omit set and every subset, all subsets in one pass."""
-    articles = _scoped(t, base_set(t, rules), rules, restrict)
+    articles = _scoped(t, rules, "triage", restrict)
     identified = article_ids(t, rules, True).select("refs_key").distinct()
     typed = t.terms.select(F.col("term_key").alias("ref_type_key"))
     counts = (
@@ -293,7 +313,7 @@ def group_counts(t: Tables, rules: Rules, group: str | None = None,
     groups = SEARCH_GROUPS if group is None else (group,)
     identified = article_ids(t, rules).select("refs_key").distinct()
     articles = (
-        _scoped(t, group_base_set(t), rules, restrict)
+        _scoped(t, rules, "group", restrict)
         .join(go_curated(t, rules).withColumn("go_curated", F.lit(True)), "refs_key", "left")
         .withColumn("go_curated", F.coalesce("go_curated", F.lit(False)))
         .join(identified, "refs_key", "left_semi")
