@@ -80,13 +80,19 @@ def term_vectors(df: DataFrame, key: str, min_df: float = 0.02, max_df: float =
     )
 
 
-def document_counts(df: DataFrame, positive: Column) -> DataFrame:
-    """(term, n_docs, n_pos, n_neg): documents of each class that hold a term."""
+def feature_counts(df: DataFrame, positive: Column, min_df: float = 0.02,
+                   max_df: float = 0.75) -> DataFrame:
+    """(term, n_docs, n_pos, n_neg) of the vocabulary: documents holding the term, by class."""
+    documents = df.agg(F.count("*")).scalar()
     rows = df.select(positive.alias("_pos"), F.explode(F.array_distinct("terms")).alias("term"))
-    return rows.groupBy("term").agg(
-        F.count("*").alias("n_docs"),
-        F.count_if("_pos").alias("n_pos"),
-        F.count_if(~F.col("_pos")).alias("n_neg"),
+    return (
+        rows.groupBy("term")
+        .agg(
+            F.count("*").alias("n_docs"),
+            F.count_if("_pos").alias("n_pos"),
+            F.count_if(~F.col("_pos")).alias("n_neg"),
+        )
+        .filter(F.col("n_docs").between(F.lit(min_df) * documents, F.lit(max_df) * documents))
     )
 
 
