@@ -7,15 +7,24 @@ from pyspark.sql import Column, functions as F
 from litsieve.schema import FIELD_SEP, RECORD_END
 
 # What Python's str.split / str.strip and ``\s`` treat as whitespace; Java's
-# ``\s`` is narrower. Used inside a character class.
-SPACE = r"\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-NON_SPACE = f"[^{SPACE}]"
-ANY_SPACE = f"[{SPACE}]"
+# ``\s`` is narrower.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_SPACE_RANGES = (
+    r"\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+)
+ANY_SPACE = f"[{_SPACE_RANGES}]"
+NON_SPACE = f"[^{_SPACE_RANGES}]"
+# A run of non-space characters; the common ASCII part has its own quick class.
+NON_SPACE_RUN = rf"(?:[\x21-\x7E]++|{NON_SPACE})++"
 
 # What counts as a URL, and as a token worth keeping.
-URL = rf"(?i)\b(?:https?://|www[.]|doi){NON_SPACE}*"
+URL = rf"(?i)\b(?:https?://|www[.]|doi)(?:{NON_SPACE_RUN})?"
 # 'doi' only when it introduces an identifier, so that "doing" survives
-URL_STRICT_DOI = rf"(?i)\b(?:https?://|www[.]|doi(?=[:./\s])){NON_SPACE}*"
+URL_STRICT_DOI = rf"(?i)\b(?:https?://|www[.]|doi(?=[:./\s]))(?:{NON_SPACE_RUN})?"
 TOKEN = r"\b[a-z_]\w+\b"
 WORD = r"\w+"
 
@@ -60,7 +69,7 @@ def normalise_journal(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{ANY_SPACE}+|{ANY_SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def make_document(title: Column, abstract: Column, text: Column) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from litsieve.functions.clean import ANY_SPACE, NON_SPACE, strip
+from litsieve.functions.clean import ANY_SPACE, NON_SPACE_RUN, strip
 
 # Figure words (plurals allowed) and caption starts (no plurals).
 MENTION = r"\b(?:fig(?:ure)?|table)s?\b"
@@ -58,8 +58,8 @@ def _windows(p: Column, n: int) -> Column:
     makes the first piece exist even if the paragraph opens with a mention.
     """
     cut = F.split(F.concat(F.lit(" "), p), _BEFORE_MENTION)
-    words = F.transform(
-        cut, lambda piece: F.regexp_extract_all(piece, F.lit(f"{NON_SPACE}+"), F.lit(0))
+    pieces = F.transform(
+        cut, lambda piece: F.regexp_extract_all(piece, F.lit(NON_SPACE_RUN), F.lit(0))
     )
 
     def join(w: Column) -> Column:
@@ -77,32 +77,22 @@ def _windows(p: Column, n: int) -> Column:
         )
 
     # first and last piece are cut on one side only
-    return F.concat(
-        tail(words[0]),
-        F.lit(" "),
-        F.array_join(
-            F.concat(
-                F.transform(F.slice(words, F.lit(2), F.size(words) - 2), middle),
-                F.transform(F.slice(words, -1, 1), first),
-            ),
-            " ",
-        ),
-    )
+    def passages(words: Column) -> Column:
+        inner = F.transform(F.slice(words, F.lit(2), F.size(words) - 2), middle)
+        last = F.transform(F.slice(words, -1, 1), first)
+        return F.concat(tail(words[0]), F.lit(" "), F.array_join(F.concat(inner, last), " "))
 
-
-def _close_words_lines(text: Column, n: int) -> Column:
-    """(is_legend, passage) of every paragraph that has any."""
-    if n < 1:
-        raise ValueError("number of words must be at least 1")
-    return F.filter(paragraphs(text), _mentions)
+    # bound through an array of one, so that the words are found only once
+    return F.transform(F.array(pieces), passages)[0]
 
 
 def close_words(text: Column, n: int = 50) -> Column:
     """Whole legends, and for other paragraphs n words around each mention."""
-    kept = _close_words_lines(text, n)
+    if n < 1:
+        raise ValueError("number of words must be at least 1")
     return F.flatten(
         F.transform(
-            kept,
+            legends_and_paragraphs(text),
             lambda p: F.when(_is_legend(p), F.array(p)).otherwise(
                 F.split(_windows(p, n), "\n")
             ),

@@ -51,11 +51,28 @@ CELL_LINE_NAMES = [
 
 @dataclass(frozen=True)
 class Mapping:
-    """A regex without capturing groups, and the text that replaces it."""
+    """A regex without capturing groups, and the text that replaces it.
+
+    ``guard`` is a look-ahead every match satisfies; it spares most words the
+    full regex.
+    """
 
     name: str
     regex: str
     replacement: str
+    guard: str = ""
+
+
+def _by_first_character(words: list[str]) -> str:
+    """Alternation of the words in order, looked up by first character.
+
+    Words that differ in it exclude each other, so their order is free; the ones
+    that share it stay in order.
+    """
+    rest: dict[str, list[str]] = {}
+    for word in words:
+        rest.setdefault(word[0].lower(), []).append(word[1:])
+    return "|".join(f"{first}(?:{'|'.join(tails)})" for first, tails in rest.items())
 
 
 def mappings(dictionary: str = "exact", space: str = ANY_SPACE,
@@ -70,13 +87,18 @@ def mappings(dictionary: str = "exact", space: str = ANY_SPACE,
     names = CELL_LINE_NAMES
     if dictionary == "escaped":
         names = [n.replace(".", r"\.") for n in names]
-    tumor = "|".join(TUMOR_WORDS + TUMOR_ENDINGS + TUMOR_WORDS_OR_ENDINGS)
+    tumor_words = TUMOR_WORDS + TUMOR_ENDINGS + TUMOR_WORDS_OR_ENDINGS
+    tumor = "|".join(tumor_words)
+    # a word with the last letters of any tumor word
+    tumor_tail = "|".join(sorted({w[-3:] for w in tumor_words}))
     gap = f"(?:{space}|-)"
     # Mapping patterns and replacements, in order of precedence.
     return [
-        Mapping("tt", f"(?:{tumor})s?", "tumor_type"),
-        Mapping("cl", "|".join(f"{p}{non_space}*" for p in CELL_LINE_PREFIXES), "cell_line"),
-        Mapping("cn", "|".join(names), "cell_line"),
+        Mapping("tt", f"(?:{tumor})s?", "tumor_type", f"(?=[a-z]++(?<=(?:{tumor_tail})s?))"),
+        Mapping(
+            "cl", f"(?:{_by_first_character(CELL_LINE_PREFIXES)}){non_space}*", "cell_line"
+        ),
+        Mapping("cn", _by_first_character(names), "cell_line"),
         Mapping("mice", "mouse|mous|murine", "mice"),
         Mapping("ko", f"ko|knock(?:ed|s)?{gap}?outs?", "knock_out"),
         Mapping("ki", f"knock(?:ed)?{gap}?ins?", "knock_in"),
@@ -100,11 +122,12 @@ def _alternation(rules: list[Mapping]) -> str:
 
     The rule restarts at the end of each hit as if the text began there, where
     no word boundary precedes a non-word character; hence ``(?!\\G\\W)``.
+    The boundaries around the alternation are those of every alternative.
     """
     for m in rules:
         if re.compile(m.regex).groups:
             raise ValueError(f"mapping {m.name!r} must not capture groups")
-    return "(?i)" + "|".join(rf"(?!\G\W)\b({m.regex})\b" for m in rules)
+    return r"(?i)\b(?!\G\W)(?:" + "|".join(f"{m.guard}({m.regex})" for m in rules) + r")\b"
 
 
 def rewrite(text: Column, rules: list[Mapping] | None = None) -> Column:
@@ -129,7 +152,7 @@ def rewrite(text: Column, rules: list[Mapping] | None = None) -> Column:
 
     by_frames = F.array_join(F.transform(F.split(framed, _EDGE), fill), "")
     # A text that holds the framing characters itself takes several scans.
-    return F.when(text.rlike(f"[{_EDGE}{_SLOT}]"), _rewrite_by_scans(text, rules, pattern)).otherwise(
+    return F.when(text.contains(_EDGE) | text.contains(_SLOT), _rewrite_by_scans(text, rules, pattern)).otherwise(
         by_frames
     )
 

@@ -1,12 +1,23 @@
-"""Bag-of-n-gram features as DataFrame jobs."""
+"""Bag-of-n-gram features as DataFrame jobs.
+
+A term is kept only if at least a share ``min_df`` of the documents hold it, so
+a vocabulary has at most (mean distinct terms per document) / min_df entries,
+however many documents there are. That bound is what allows the frequent words
+and the vocabulary to be broadcast; below ``_SMALL_SHARE`` they are not.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import keyword_only
+from pyspark.ml import Estimator
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+_SMALL_SHARE = 0.001
+
 # Two or more word characters. Fixed value.
 FEATURE_TOKEN = r"\b\w\w+\b"
 
@@ -50,65 +61,97 @@ def bigrams(words: Column) -> Column:
     )
 
 
-def with_terms(df: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """Add ``terms``: words without stop words, then their neighbouring pairs."""
-    return (
-        df.withColumn("_words", without_stop_words(tokens(F.col(text)), stop_words))
-        .withColumn("terms", F.concat("_words", bigrams(F.col("_words"))))
-        .drop("_words")
-    )
+def with_words(df: DataFrame, text: str = "text",
+               stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+    """Add ``words``: the tokens that are no stop words, in order."""
+    return df.withColumn("words", without_stop_words(tokens(F.col(text)), stop_words))
+
 
+def with_terms(df: DataFrame) -> DataFrame:
+    """Add ``terms``: the words, then their neighbouring pairs."""
+    return df.withColumn("terms", F.concat("words", bigrams(F.col("words"))))
 
-def term_rows(df: DataFrame, *keep: str) -> DataFrame:
-    """One row per distinct term of a document."""
-    return df.select(*keep, F.explode(F.array_distinct("terms")).alias("term"))
+
+def _lookup(df: DataFrame, min_df: float) -> DataFrame:
+    return F.broadcast(df) if min_df >= _SMALL_SHARE else df
 
 
 def vocabulary(df: DataFrame, min_df: float = 0.02, max_df: float = 0.75) -> DataFrame:
-    """(term, df) of the terms within the document-frequency bounds."""
+    """(term, df) of the words and pairs within the document-frequency bounds.
+
+    A pair cannot be more frequent than either of its words, so pairs of a rare
+    word are dropped where they are made: almost all distinct pairs never reach
+    the shuffle.
+    """
     documents = df.agg(F.count("*")).scalar()
-    return (
-        term_rows(df).groupBy("term").agg(F.count("*").alias("df"))
-        .filter(F.col("df").between(F.lit(min_df) * documents, F.lit(max_df) * documents))
+    least, most = F.lit(min_df) * documents, F.lit(max_df) * documents
+
+    words = (
+        df.select(F.explode(F.array_distinct("words")).alias("term"))
+        .groupBy("term").agg(F.count("*").alias("df"))
+        .filter(F.col("df") >= least)
+    )
+    frequent = _lookup(words.select("term"), min_df)
+    # distinct pairs per document, as (first, second)
+    pairs = df.select(F.explode(F.array_distinct(bigrams(F.col("words")))).alias("pair")).select(
+        F.substring_index("pair", " ", 1).alias("first"),
+        F.substring_index("pair", " ", -1).alias("second"),
     )
+    for side in ("first", "second"):
+        pairs = pairs.join(frequent.withColumnRenamed("term", side), side, "left_semi")
+    pair_counts = (
+        pairs.groupBy("first", "second").agg(F.count("*").alias("df"))
+        .filter(F.col("df") >= least)
+        .select(F.concat_ws(" ", "first", "second").alias("term"), "df")
+    )
+    return words.unionByName(pair_counts).filter(F.col("df") <= most)
 
 
-def term_vectors(df: DataFrame, key: str, min_df: float = 0.02, max_df: float = 0.75) -> DataFrame:
-    """Binary document vectors in long form: (key, term)."""
-    return term_rows(df, key).join(vocabulary(df, min_df, max_df), "term", "left_semi").select(
-        key, "term"
-    )
+def term_vectors(df: DataFrame, *keep: str, min_df: float = 0.02,
+                 max_df: float = 0.75) -> DataFrame:
+    """Binary document vectors in long form: (kept columns, term)."""
+    rows = with_terms(df).select(*keep, F.explode(F.array_distinct("terms")).alias("term"))
+    vocab = _lookup(vocabulary(df, min_df, max_df).select("term"), min_df)
+    return rows.join(vocab, "term", "left_semi").select(*keep, "term")
 
 
 def feature_counts(df: DataFrame, positive: Column, min_df: float = 0.02,
                    max_df: float = 0.75) -> DataFrame:
     """(term, n_docs, n_pos, n_neg) of the vocabulary: documents holding the term, by class."""
-    documents = df.agg(F.count("*")).scalar()
-    rows = df.select(positive.alias("_pos"), F.explode(F.array_distinct("terms")).alias("term"))
-    return (
-        rows.groupBy("term")
-        .agg(
-            F.count("*").alias("n_docs"),
-            F.count_if("_pos").alias("n_pos"),
-            F.count_if(~F.col("_pos")).alias("n_neg"),
-        )
-        .filter(F.col("n_docs").between(F.lit(min_df) * documents, F.lit(max_df) * documents))
+    rows = term_vectors(df.withColumn("_pos", positive), "_pos", min_df=min_df, max_df=max_df)
+    return rows.groupBy("term").agg(
+        F.count("*").alias("n_docs"),
+        F.count_if("_pos").alias("n_pos"),
+        F.count_if(~F.col("_pos")).alias("n_neg"),
     )
 
 
-def vectorizer(vocab: DataFrame, limit: int = 1 << 20) -> CountVectorizerModel:
-    """Binary vectoriser with an alphabetical vocabulary.
+class TermVectorizer(Estimator):
+    """Binary vectors over the alphabetical vocabulary of column ``words``.
 
-    With a minimum share f of documents the vocabulary holds at most (mean terms
-    per document) / f entries however many documents there are; the limit checks
-    that before anything reaches the driver.
+    The fitted model reads ``terms``. The vocabulary is checked against
+    ``limit`` before anything but that many terms reaches the driver.
     """
-    rows = vocab.select("term").orderBy("term").take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"vocabulary exceeds {limit} terms; raise min_df")
-    return CountVectorizerModel.from_vocabulary(
-        [r.term for r in rows], inputCol="terms", outputCol="features"
-    ).setBinary(True)
+
+    minDF = Param(Params._dummy(), "minDF", "least share of documents", TypeConverters.toFloat)
+    maxDF = Param(Params._dummy(), "maxDF", "largest share of documents", TypeConverters.toFloat)
+    limit = Param(Params._dummy(), "limit", "most terms allowed", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, minDF: float = 0.02, maxDF: float = 0.75, limit: int = 1 << 20):
+        super().__init__()
+        self._setDefault(minDF=0.02, maxDF=0.75, limit=1 << 20)
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> CountVectorizerModel:
+        limit = self.getOrDefault("limit")
+        vocab = vocabulary(dataset, self.getOrDefault("minDF"), self.getOrDefault("maxDF"))
+        rows = vocab.select("term").orderBy("term").take(limit + 1)
+        if not 0 < len(rows) <= limit:
+            raise ValueError(f"vocabulary is empty or exceeds {limit} terms; change minDF")
+        return CountVectorizerModel.from_vocabulary(
+            [r.term for r in rows], inputCol="terms", outputCol="features"
+        ).setBinary(True)
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:

@@ -12,19 +12,16 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from litsieve.operators.features import with_class_weight
+from litsieve.operators.features import TermVectorizer, with_class_weight, with_terms
 from litsieve.operators.reports import class_report
 from litsieve.session import shared_dir
 
-# Term selection and model settings of the published classifiers. Fixed values.
-# Spark's boosted trees have no minimum size for a node to be split; the minimum
+# Model settings of the published classifiers. Fixed values. Spark's boosted trees have no minimum size for a node to be split; the minimum
 # leaf size bounds it instead.
-VECTORIZER = {"minDF": 0.02, "maxDF": 0.75}
 MODELS: dict[str, tuple[type, dict[str, Any]]] = {
     "gbt": (
         GBTClassifier,
@@ -59,32 +56,27 @@ def classifier(kind: str, seed: int | None = None, **settings: Any) -> Estimator
     return cls(**params)
 
 
-def vectorizer_stage(**settings: Any) -> CountVectorizer:
-    """Binary terms within the document-frequency bounds, however many they are."""
-    params = {"vocabSize": (1 << 31) - 1, **VECTORIZER, **settings}
-    return CountVectorizer(inputCol="terms", outputCol="features", binary=True, **params)
-
-
-def pipeline(kind: str, seed: int | None = None, vectorizer: Mapping[str, Any] | None = None,
-             **settings: Any) -> Pipeline:
-    return Pipeline(stages=[vectorizer_stage(**(vectorizer or {})),
-                            classifier(kind, seed, **settings)])
-
-
-def _prepared(train: DataFrame, kind: str) -> DataFrame:
-    shared_dir(train.sparkSession)
-    return with_class_weight(train) if kind in BALANCED else train
+def _training_rows(df: DataFrame, kind: str, *keep: str) -> DataFrame:
+    shared_dir(df.sparkSession)
+    rows = with_terms(
+        df.select(*keep, "words", F.col("label").cast("double").alias("label"))
+    )
+    return with_class_weight(rows) if kind in BALANCED else rows
 
 
 def fit(train: DataFrame, kind: str, seed: int | None = None,
         vectorizer: Mapping[str, Any] | None = None, **settings: Any) -> PipelineModel:
-    """Train on rows with ``terms`` (array of strings) and ``label`` (0/1)."""
-    rows = _prepared(train.select("terms", F.col("label").cast("double").alias("label")), kind)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    """Train on rows with ``words`` (array of strings) and ``label`` (0/1).
+
+    Only the vectors are kept for the passes of the learner, never the texts.
+    """
+    rows = _training_rows(train, kind)
+    vectors = TermVectorizer(**(vectorizer or {})).fit(rows)
+    ready = vectors.transform(rows).drop("words", "terms").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return pipeline(kind, seed, vectorizer, **settings).fit(rows)
+        return PipelineModel([vectors, classifier(kind, seed, **settings).fit(ready)])
     finally:
-        rows.unpersist()
+        ready.unpersist()
 
 
 def margin(model: Model) -> Column:
@@ -101,7 +93,7 @@ def predict(model: PipelineModel, df: DataFrame, class_names: Sequence[str] = ("
     Row-local, so it runs on a stream as well.
     """
     names = F.array(*map(F.lit, class_names))
-    out = model.transform(df).withColumns(
+    out = model.transform(with_terms(df)).drop("terms", "features").withColumns(
         {
             "pred_class": names[F.col("prediction").cast("int")],
             "confidence": margin(model.stages[-1]),
@@ -114,7 +106,7 @@ def predict(model: PipelineModel, df: DataFrame, class_names: Sequence[str] = ("
             .when(F.col("prediction") == positive, F.lit("FP"))
             .when(F.col("label") == positive, F.lit("FN")),
         )
-    return out.drop("features", "rawPrediction", "probability", "prediction")
+    return out.drop("rawPrediction", "probability", "prediction")
 
 
 def evaluate(predictions: DataFrame, split: str = "split", beta: float = 2.0) -> DataFrame:
@@ -177,13 +169,13 @@ def grid_search(train: DataFrame, kind: str, options: Mapping[str, Sequence[Any]
     hash of the sample ID, so they are the same on every run.
     """
     spark = train.sparkSession
-    columns = [key, "terms", F.col("label").cast("double").alias("label")]
-    rows = _prepared(train.select(*columns), kind).withColumn(
+    rows = _training_rows(train, kind, key).withColumn(
         "fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        job = pipeline(kind, seed, vectorizer, **settings)
-        grid = _grid(job.getStages()[-1], options)
+        stages = [TermVectorizer(**(vectorizer or {})), classifier(kind, seed, **settings)]
+        job = Pipeline(stages=stages)
+        grid = _grid(stages[-1], options)
         evaluator = f_beta_evaluator(beta)
         if validation is None:
             search = CrossValidator(
@@ -192,7 +184,7 @@ def grid_search(train: DataFrame, kind: str, options: Mapping[str, Sequence[Any]
             ).fit(rows)
             scores, best = list(search.avgMetrics), search.bestModel
         else:
-            held_out = validation.select(*columns)
+            held_out = _training_rows(validation, kind, key)
             models = [job.fit(rows, params) for params in grid]
             scores = [evaluator.evaluate(m.transform(held_out)) for m in models]
             best = models[max(range(len(grid)), key=scores.__getitem__)]

@@ -21,6 +21,10 @@ _CTES = {
 }
 
 
+def _words(x: Inputs) -> DataFrame:
+    return features.with_words(x.view("clean"))
+
+
 @query("feature_tokens", "SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM toks", _CTES)
 def _(x: Inputs):
     return x.view("clean").select(
@@ -36,19 +40,19 @@ def _(x: Inputs):
 
 @query("ngrams", "SELECT doc_id, array_to_string(terms, chr(10)) AS terms FROM grams", _CTES)
 def _(x: Inputs):
-    return features.with_terms(x.view("clean")).select(
+    return features.with_terms(_words(x)).select(
         "doc_id", F.array_join("terms", "\n").alias("terms")
     )
 
 
 @query("vocab_df", "SELECT term, df FROM vocab", _CTES)
 def _(x: Inputs):
-    return features.vocabulary(features.with_terms(x.view("clean")))
+    return features.vocabulary(_words(x))
 
 
 @query("binary_vectors", "SELECT r.doc_id, r.term FROM rows r JOIN vocab v ON r.term = v.term", _CTES)
 def _(x: Inputs):
-    return features.term_vectors(features.with_terms(x.view("clean")), "doc_id")
+    return features.term_vectors(_words(x), "doc_id")
 
 
 @query("feature_doc_counts", """
@@ -56,9 +60,7 @@ def _(x: Inputs):
       count(*) FILTER (coalesce(quality, 0) <> 1) AS n_neg
     FROM rows r JOIN vocab v ON r.term = v.term GROUP BY r.term""", _CTES)
 def _(x: Inputs):
-    return features.feature_counts(
-        features.with_terms(x.view("clean")), F.coalesce("quality", F.lit(0)) == 1
-    )
+    return features.feature_counts(_words(x), F.coalesce("quality", F.lit(0)) == 1)
 
 
 @query("vocab_probe", """
@@ -68,7 +70,7 @@ def _(x: Inputs):
         ON CASE part WHEN 'first' THEN pos <= 10 WHEN 'last' THEN pos > n - 10
            ELSE pos > n // 2 - 5 AND pos <= n // 2 + 5 END""", _CTES)
 def _(x: Inputs):
-    return reports.alphabetical_probe(features.vocabulary(features.with_terms(x.view("clean"))))
+    return reports.alphabetical_probe(features.vocabulary(_words(x)))
 
 
 @query("class_weights", """
@@ -92,8 +94,8 @@ _SMALL = {
 def _labelled(x: Inputs) -> DataFrame:
     docs = x.view("clean").filter(F.col("quality").isNotNull())
     split = F.when(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0, "val").otherwise("train")
-    return features.with_terms(docs).select(
-        F.col("doc_id").alias("id"), "terms", F.col("quality").alias("label"), split.alias("split")
+    return features.with_words(docs).select(
+        F.col("doc_id").alias("id"), "words", F.col("quality").alias("label"), split.alias("split")
     )
 
 
@@ -119,7 +121,7 @@ for _name, _kind in (("train_gbt", "gbt"), ("train_rf", "rf"), ("train_logistic"
 @query("predict")
 def _(x: Inputs):
     model, rows = _fit(x, "logistic")
-    return learning.predict(model, rows).drop("terms")
+    return learning.predict(model, rows).drop("words")
 
 
 @query("feature_weights")

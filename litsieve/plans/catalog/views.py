@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from litsieve.functions.clean import clean_text
 from litsieve.rules import Rules
-from litsieve.session import tune
+from litsieve.session import spread, tune
 from litsieve.sources.tables import TABLE_NAMES, Tables
 
 BASE_TABLES = (
@@ -161,7 +161,9 @@ class Inputs:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # texts are read for CPU-bound work
+        return spread(df, "doc_id") if name == "documents" else df
 
     def view(self, name: str) -> DataFrame:
         if name == "clean":

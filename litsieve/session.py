@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
     # date literals and formatted dates must not depend on the host
@@ -46,3 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Enough tasks for a CPU-bound step over a scan that has too few.
+
+    A large table already splits into more tasks than cores and is left alone;
+    only a small file, often a single row group, is dealt out by its key.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, *keys)
