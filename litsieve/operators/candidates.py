@@ -150,33 +150,22 @@ def base_name(path: Column) -> Column:
     return F.regexp_replace(path, "^.*/", "")
 
 
-def main_file(files: DataFrame, archive: str = "archive_id") -> DataFrame:
-    """(archive, path, pos, reason) of the article's own PDF in each archive.
-
-    ``files`` lists the PDFs of an archive in order ``pos``. The first one named
-    like a main file wins (reason ``m``). Otherwise it is the largest one that
-    is not named like a supplement, the first of equals (``o`` if the first
-    candidate was already the largest, ``s`` if a later one beat it). Without
-    either, path and reason are NULL. Everything is a combinable aggregate, so
-    even an archive with most of the files is reduced before the shuffle.
-    """
+def _picked(files: DataFrame, archive: str) -> DataFrame:
     name = F.replace(base_name(F.col("path")), F.lit(".pdf"), F.lit(""))
     is_main = _matches(name, MAIN_NAMES)
     sized = ~is_main & ~_matches(name, SUPPLEMENT_NAMES) & (F.col("size") > 0)
     here = F.struct("pos", "path")
-    picked = (
-        files.select(archive, "pos", "path", "size", is_main.alias("m"), sized.alias("c"))
-        .groupBy(archive)
-        .agg(
-            F.min(F.when(F.col("m"), here)).alias("main"),
-            F.max(
-                F.when(F.col("c"), F.struct("size", (-F.col("pos")).alias("back"), "path"))
-            ).alias("largest"),
-            F.min(F.when(F.col("c"), F.struct("pos", "size"))).alias("first"),
-        )
+    back = F.struct("size", (-F.col("pos")).alias("back"), "path")
+    judged = files.select(archive, "pos", "path", "size", is_main.alias("m"), sized.alias("c"))
+    grouped = judged.groupBy(archive).agg(
+        F.min(F.when(F.col("m"), here)).alias("main"),
+        F.max(F.when(F.col("c"), back)).alias("largest"),
+        F.min(F.when(F.col("c"), F.struct("pos", "size"))).alias("first"),
+        F.min("pos").alias("first_pos"),
+        F.count("*").alias("n_files"),
     )
     main, largest = F.col("main"), F.col("largest")
-    return picked.select(
+    return grouped.select(
         archive,
         F.coalesce(main["path"], largest["path"]).alias("path"),
         F.coalesce(main["pos"], -largest["back"]).alias("pos"),
@@ -184,9 +173,23 @@ def main_file(files: DataFrame, archive: str = "archive_id") -> DataFrame:
         .when(largest["size"] == F.col("first")["size"], F.lit("o"))
         .when(largest.isNotNull(), F.lit("s"))
         .alias("reason"),
+        "first_pos", "n_files",
     )
 
 
+def main_file(files: DataFrame, archive: str = "archive_id") -> DataFrame:
+    """(archive, path, pos, reason) of the article's own PDF in each archive.
+
+    ``files`` lists the PDFs of an archive in order ``pos``. The first one named
+    like a main file wins (reason ``m``). Otherwise it is the largest one that
+    is not named like a supplement, the first of equals (``o`` if the first
+    candidate was already the largest, ``s`` if a later one beat it). Without
+    either, path and reason are NULL. Everything is a combinable aggregate, so
+    even an archive with most of the files is reduced before the shuffle.
+    """
+    return _picked(files, archive).drop("first_pos", "n_files")
+
+
 def main_file_log(files: DataFrame, archive: str = "archive_id") -> DataFrame:
     """(archive, reason, chosen, other_pos, other): the other files looked at.
 
@@ -194,16 +197,24 @@ def main_file_log(files: DataFrame, archive: str = "archive_id") -> DataFrame:
     archive without others has one row with NULLs. A main file ends the look, so
     then only the names before it appear.
     """
-    picked = main_file(files, archive).select(
-        F.col(archive).alias("_archive"), "reason", F.col("path").alias("chosen"),
-        F.col("pos").alias("chosen_pos"),
+    picked = _picked(files, archive).select(
+        archive, "reason", F.col("path").alias("chosen"), F.col("pos").alias("chosen_pos"),
+        "first_pos", "n_files",
+    )
+    by_name = F.col("reason") == "m"
+    seen = (F.col("pos") != F.col("chosen_pos")) & (
+        ~by_name | (F.col("pos") < F.col("chosen_pos"))
     )
-    seen = (
-        (F.col("_archive") == F.col(archive))
-        & (F.col("pos") != F.col("chosen_pos"))
-        & ((F.col("reason") != "m") | (F.col("pos") < F.col("chosen_pos")))
+    # An inner join, so that a huge archive can be split; archives with nothing
+    # to list are known from the aggregate and added.
+    others = files.select(archive, "pos", "path").join(picked, archive).filter(seen).select(
+        archive, "reason", "chosen", F.col("pos").alias("other_pos"),
+        base_name(F.col("path")).alias("other"),
     )
-    return picked.join(files.select(archive, "pos", "path"), seen, "left").select(
-        F.col("_archive").alias(archive), "reason", "chosen",
-        F.col("pos").alias("other_pos"), base_name(F.col("path")).alias("other"),
+    alone = F.col("chosen").isNull() | F.when(
+        by_name, F.col("first_pos") == F.col("chosen_pos")
+    ).otherwise(F.col("n_files") == 1)
+    rest = picked.filter(alone).select(
+        archive, "reason", "chosen", F.lit(None).alias("other_pos"), F.lit(None).alias("other")
     )
+    return others.unionByName(rest)

@@ -88,6 +88,8 @@ def vocabulary(df: DataFrame, min_df: float = 0.02, max_df: float = 0.75) -> Dat
 
     words = (
         df.select(F.explode(F.array_distinct("words")).alias("term"))
+        # stated here so that both uses below share one shuffle
+        .filter(F.col("term").isNotNull())
         .groupBy("term").agg(F.count("*").alias("df"))
         .filter(F.col("df") >= least)
     )

@@ -73,9 +73,11 @@ def _with_omit_flag(articles: DataFrame, t: Tables, rules: Rules) -> DataFrame:
     )
     tagged = (
         t.tags.filter(F.col("tag_key") == F.lit(rules.refs_only_tag))
-        .select("refs_key", F.lit(True).alias("tagged")).distinct()
+        .select("refs_key").distinct().withColumn("tagged", F.lit(True))
+    )
+    identified = (
+        article_ids(t, rules).select("refs_key").distinct().withColumn("identified", F.lit(True))
     )
-    identified = article_ids(t, rules).select("refs_key", F.lit(True).alias("identified")).distinct()
 
     loaded = F.col("loader_indexed") | (F.col("createdby_key") == F.lit(rules.goa_creator))
     others_unselected = F.lit(True)
@@ -247,9 +249,10 @@ def _project(articles: DataFrame, t: Tables, rules: Rules, preferred_only: bool,
              limit: int, labels: list[Column]) -> DataFrame:
     """Add type and ID; rows are distinct because the joined keys are."""
     out = (
-        articles.join(t.terms.select(F.col("term_key").alias("ref_type_key"),
-                                     F.col("term").alias("ref_type")), "ref_type_key")
-        .join(article_ids(t, rules, preferred_only), "refs_key")
+        articles.join(article_ids(t, rules, preferred_only), "refs_key")
+        # the one join on another key comes last
+        .join(t.terms.select(F.col("term_key").alias("ref_type_key"),
+                             F.col("term").alias("ref_type")), "ref_type_key")
     )
     if limit:
         # before any text is joined, and the same rows on every run

@@ -161,9 +161,7 @@ class Inputs:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        # texts are read for CPU-bound work
-        return spread(df, "doc_id") if name == "documents" else df
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
         if name == "clean":
@@ -173,7 +171,10 @@ class Inputs:
         sql = with_views(f"SELECT * FROM {name}")
         for table in BASE_TABLES:
             if re.search(rf"\b{table}\b", sql):
-                self.table(table).createOrReplaceTempView(table)
+                df = self.table(table)
+                # whole texts are read for CPU-bound work
+                df = spread(df, "doc_id") if name == "corpus" and table == "documents" else df
+                df.createOrReplaceTempView(table)
         return self.spark.sql(sql)
 
     def _samples(self) -> DataFrame:
