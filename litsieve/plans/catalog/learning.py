@@ -87,7 +87,7 @@ _SMALL = {
     "gbt": {"maxIter": 8, "minInstancesPerNode": 5, "stepSize": 0.2},
     "rf": {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 5},
     "logistic": {"maxIter": 20},
-    "svm": {"maxIter": 20},
+    "svm": {"maxIter": 8},
 }
 
 

@@ -74,7 +74,7 @@ def read_side_texts(spark: SparkSession, path: str, suffix: str = ".new.txt") ->
     """(ID, new_text) of whole files named ``<ID><suffix>``."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").text(path)
+        spark.read.option("pathGlobFilter", f"*{suffix}").text(path, wholetext=True)
         .select(name.alias("name"), "value")
         .select(
             F.col("name").substr(F.lit(1), F.length("name") - len(suffix)).alias("ID"),
