@@ -71,7 +71,7 @@ def _ends_short(word: str) -> bool:
     return _SHORT_SYLLABLE_RE.search(word) is not None
 
 
-@lru_cache(maxsize=1 << 20)
+@lru_cache(maxsize=1 << 18)
 def stem(word: str) -> str:
     word = word.lower()
     if len(word) <= 2:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from litsieve.operators.features import TermVectorizer, with_class_weight, with_terms
 from litsieve.operators.reports import class_report
-from litsieve.session import shared_dir
+from litsieve.session import materialise
 
 # Model settings of the published classifiers. Fixed values. Spark's boosted trees have no minimum size for a node to be split; the minimum
 # leaf size bounds it instead.
@@ -57,11 +57,10 @@ def classifier(kind: str, seed: int | None = None, **settings: Any) -> Estimator
 
 
 def _training_rows(df: DataFrame, kind: str, *keep: str) -> DataFrame:
-    shared_dir(df.sparkSession)
-    rows = with_terms(
-        df.select(*keep, "words", F.col("label").cast("double").alias("label"))
-    )
-    return with_class_weight(rows) if kind in BALANCED else rows
+    """Words, label and weight, stored once: every fit reads them several times."""
+    rows = df.select(*keep, "words", F.col("label").cast("double").alias("label"))
+    rows = materialise(rows, "training")
+    return with_terms(with_class_weight(rows) if kind in BALANCED else rows)
 
 
 def fit(train: DataFrame, kind: str, seed: int | None = None,
@@ -109,9 +108,10 @@ def predict(model: PipelineModel, df: DataFrame, class_names: Sequence[str] = ("
     return out.drop("rawPrediction", "probability", "prediction")
 
 
-def evaluate(predictions: DataFrame, split: str = "split", beta: float = 2.0) -> DataFrame:
+def evaluate(predictions: DataFrame, split: str = "split", beta: float = 2.0,
+             keep: str = "keep") -> DataFrame:
     """F-beta, precision, recall and NPV per split."""
-    return class_report(predictions, split, beta).select(
+    return class_report(predictions, split, beta, keep=keep).select(
         split, "f_beta", F.col("keep_precision").alias("p"), F.col("keep_recall").alias("r"),
         F.col("discard_precision").alias("npv"),
     )
@@ -171,25 +171,22 @@ def grid_search(train: DataFrame, kind: str, options: Mapping[str, Sequence[Any]
     spark = train.sparkSession
     rows = _training_rows(train, kind, key).withColumn(
         "fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stages = [TermVectorizer(**(vectorizer or {})), classifier(kind, seed, **settings)]
-        job = Pipeline(stages=stages)
-        grid = _grid(stages[-1], options)
-        evaluator = f_beta_evaluator(beta)
-        if validation is None:
-            search = CrossValidator(
-                estimator=job, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                foldCol="fold", parallelism=2,
-            ).fit(rows)
-            scores, best = list(search.avgMetrics), search.bestModel
-        else:
-            held_out = _training_rows(validation, kind, key)
-            models = [job.fit(rows, params) for params in grid]
-            scores = [evaluator.evaluate(m.transform(held_out)) for m in models]
-            best = models[max(range(len(grid)), key=scores.__getitem__)]
-    finally:
-        rows.unpersist()
+    )
+    stages = [TermVectorizer(**(vectorizer or {})), classifier(kind, seed, **settings)]
+    job = Pipeline(stages=stages)
+    grid = _grid(stages[-1], options)
+    evaluator = f_beta_evaluator(beta)
+    if validation is None:
+        search = CrossValidator(
+            estimator=job, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
+            foldCol="fold", parallelism=2,
+        ).fit(rows)
+        scores, best = list(search.avgMetrics), search.bestModel
+    else:
+        held_out = _training_rows(validation, kind, key)
+        models = [job.fit(rows, params) for params in grid]
+        scores = [evaluator.evaluate(m.transform(held_out)) for m in models]
+        best = models[max(range(len(grid)), key=scores.__getitem__)]
     table = spark.createDataFrame(
         [(_name_params(p), float(s)) for p, s in zip(grid, scores)], "params string, f_beta double"
     )

@@ -141,15 +141,12 @@ def _(x: Inputs):
     return archive.parse_listing(lines.unionByName(folders))
 
 
-_NEW_TEXT = "SELECT CAST(conv_id AS STRING) AS \"ID\", text AS new_text FROM conversations WHERE turn = 0"
-
-
-@query("replace_text", f"""
-    SELECT s."ID", coalesce(n.new_text, s."extractedText") AS "extractedText"
-    FROM samples s LEFT JOIN new_texts n ON s."ID" = n."ID" """, {"new_texts": _NEW_TEXT})
+@query("replace_text", """
+    SELECT s."ID", coalesce(n.html, s."extractedText") AS "extractedText"
+    FROM samples s LEFT JOIN pages n ON s."ID" = CAST(n.page_id AS STRING)""")
 def _(x: Inputs):
-    side = x.table("conversations").filter("turn = 0").select(
-        F.col("conv_id").cast("string").alias("ID"), F.col("text").alias("new_text")
+    side = x.table("pages").select(
+        F.col("page_id").cast("string").alias("ID"), F.col("html").alias("new_text")
     )
     return archive.replace_text(x.view("samples"), side).select("ID", "extractedText")
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from litsieve.operators import features, learning, reports
+from litsieve.plans import build, learn
 from litsieve.plans.catalog.registry import query
-from litsieve.plans.catalog.views import Inputs
+from litsieve.plans.catalog.views import RULES, Inputs
 from litsieve.session import scratch_path
 
 _STOPS = ", ".join(f"'{w}'" for w in features.STOP_WORDS)
@@ -86,7 +87,7 @@ def _(x: Inputs):
 _SMALL = {
     "gbt": {"maxIter": 8, "minInstancesPerNode": 5, "stepSize": 0.2},
     "rf": {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 5},
-    "logistic": {"maxIter": 20},
+    "logistic": {"maxIter": 10},
     "svm": {"maxIter": 8},
 }
 
@@ -146,6 +147,33 @@ def _(x: Inputs):
     return table
 
 
+def _article_rows(x: Inputs) -> DataFrame:
+    """Training rows of the articles themselves: their records and text parts."""
+    return learn.training_rows(build.triage_subset(x.tables(), None, RULES, restrict=False))
+
+
+def _tuned(x: Inputs) -> learn.TuningRun:
+    return learn.tune(
+        _article_rows(x), "logistic", {"regParam": [0.05]}, "logistic.py", folds=2,
+        split_seed=3, model_seed=11, **_SMALL["logistic"],
+    )
+
+
+@query("tuning_report")
+def _(x: Inputs):
+    """Selection, text, features, search and report in one go, no validation set given."""
+    run = _tuned(x)
+    return run.report.join(run.sizes, "split")
+
+
+@query("prediction_file")
+def _(x: Inputs):
+    """Predictions of a model over all articles, as prediction-file records."""
+    rows = _article_rows(x)
+    model = learning.fit(rows, "logistic", **_SMALL["logistic"])
+    return learn.prediction_records(learning.predict(model, rows))
+
+
 @query("run_index")
 def _(x: Inputs):
     """Two tuning runs appended to an index, best first."""

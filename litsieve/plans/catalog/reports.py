@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from litsieve.operators import candidates, reports, splits
+from litsieve.plans.backfill import backfill
 from litsieve.plans.catalog.registry import query
-from litsieve.plans.catalog.selection import OUTCOME_CTE, outcomes
+from litsieve.plans.catalog.selection import OUTCOME_CTE, TYPES, outcomes
 from litsieve.plans.catalog.views import RULES, Inputs
 from litsieve.rules import GROUP_COLUMNS
 from litsieve.schema import PRIM_TRIAGE, omit_rejects, set_reject, validate_class
@@ -254,6 +255,35 @@ def _(x: Inputs):
     return candidates.outcome_report(outcomes(x))
 
 
+_BACKFILL_CTES = {
+    "picked_pdf": r"""
+    SELECT DISTINCT archive_id AS pmcid FROM files
+    WHERE regexp_matches(path, '(?i)/(?:.*main|.*article[-_]*[0-9]*)\.pdf$')
+       OR (size > 0 AND NOT regexp_matches(path, '(?i)/(?:.*sup.*|.*sd.*|.*s[0-9]+|.*data.*|.*fig.*)\.pdf$'))""",
+    "judged_all": """
+    SELECT o.pmcid, o.journal, o.outcome, o.has_body, p.pmcid IS NOT NULL AS has_pdf
+    FROM outcomes o LEFT JOIN picked_pdf p ON o.pmcid = p.pmcid""",
+}
+
+
+@query("backfill_report", """
+    SELECT *, found - skipped_type - new_type - in_db - no_pdf - no_pmid AS matching FROM
+    (SELECT journal, count(*) AS found,
+      count(*) FILTER (outcome = 'no_pmid') AS no_pmid, count(*) FILTER (outcome = 'in_db') AS in_db,
+      count(*) FILTER (outcome = 'skipped_type') AS skipped_type, count(*) FILTER (outcome = 'new_type') AS new_type,
+      count(*) FILTER (outcome = 'wanted' AND NOT has_pdf) AS no_pdf,
+      count(*) FILTER (outcome = 'wanted' AND NOT has_body) AS no_body,
+      count(*) FILTER (outcome = 'wanted' AND has_pdf) AS pdf_written,
+      count(*) FILTER (outcome = 'wanted') AS text_written
+     FROM judged_all GROUP BY journal) x""", OUTCOME_CTE | _BACKFILL_CTES)
+def _(x: Inputs):
+    """The whole side job: article outcomes with the main files of their archives."""
+    articles = x.view("candidates").drop("has_pdf").withColumn("text", F.lit(""))
+    known = x.table("supplier").select(F.col("s_suppkey").alias("pmid"))
+    files = x.view("files").withColumnRenamed("archive_id", "pmcid")
+    return backfill(articles, known, files, TYPES).report
+
+
 @query("outcome_examples", """
     SELECT journal, outcome, type, num, array_to_string(ids[1:6], ', ') AS examples FROM
     (SELECT journal, outcome, type, count(*) AS num, list(CAST(pmcid AS VARCHAR) ORDER BY pmcid) AS ids FROM

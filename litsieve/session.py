@@ -48,6 +48,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write rows that many jobs will read to the shared folder and read them back.
+
+    Later jobs neither repeat nor plan what led to them, and a lost executor
+    costs no more than reading a file again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Enough tasks for a CPU-bound step over a scan that has too few.
 
