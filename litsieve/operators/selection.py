@@ -44,8 +44,13 @@ def article_ids(t: Tables, rules: Rules, preferred_only: bool = False) -> DataFr
 
 
 def with_text(t: Tables) -> DataFrame:
-    """Keys of articles that have at least one text part."""
-    return t.parts.filter(F.col("text_part").isNotNull()).select("refs_key").distinct()
+    """Keys of articles that have at least one text part.
+
+    Where ``parts`` has a ``has_text`` flag (see ``sources.tables.flag_text``)
+    the texts themselves are not read for this.
+    """
+    has_text = F.col("has_text") if "has_text" in t.parts.columns else F.col("text_part").isNotNull()
+    return t.parts.filter(has_text).select("refs_key").distinct()
 
 
 def _with_status(refs: DataFrame, t: Tables) -> DataFrame:
@@ -115,18 +120,21 @@ BASES: dict[str, tuple[Callable[[Rules], Column], bool]] = {
 }
 
 
-def base_articles(t: Tables, rules: Rules, base: str = "triage",
-                  restrict: bool = False) -> DataFrame:
+def base_articles(t: Tables, rules: Rules, base: str = "triage", restrict: bool = False,
+                  require_text: bool = True) -> DataFrame:
     """Article rows with text that belong to a base, with their status columns.
 
     Each table is read once and everything joins on the article key, so callers
-    can filter the result further and have that reach the scan.
+    can filter the result further and have that reach the scan. A caller that
+    joins the text anyway can leave the check for text to that join.
     """
     creator, leave_out = BASES[base]
     refs = t.refs.filter(creator(rules))
     if restrict:
         refs = refs.filter(_restriction(rules))
-    articles = _with_status(refs.join(with_text(t), "refs_key", "left_semi"), t)
+    if require_text:
+        refs = refs.join(with_text(t), "refs_key", "left_semi")
+    articles = _with_status(refs, t)
     if leave_out:
         articles = _with_omit_flag(articles, t, rules).filter(~F.col("omitted")).drop("omitted")
     return articles
@@ -241,8 +249,9 @@ def _restriction(rules: Rules) -> Column:
     return (F.col("ref_type_key") == F.lit(rules.peer_reviewed)) & (F.col("isreview") != 1)
 
 
-def _scoped(t: Tables, rules: Rules, base: str, restrict: bool) -> DataFrame:
-    return base_articles(t, rules, base, restrict).filter("has_status")
+def _scoped(t: Tables, rules: Rules, base: str, restrict: bool,
+            require_text: bool = True) -> DataFrame:
+    return base_articles(t, rules, base, restrict, require_text).filter("has_status")
 
 
 def _project(articles: DataFrame, t: Tables, rules: Rules, preferred_only: bool,
@@ -266,22 +275,22 @@ def _project(articles: DataFrame, t: Tables, rules: Rules, preferred_only: bool,
 
 
 def subset_records(t: Tables, rules: Rules, subset: str | None, base: str = "triage",
-                   restrict: bool = True, limit: int = 0) -> DataFrame:
+                   restrict: bool = True, limit: int = 0, require_text: bool = True) -> DataFrame:
     """Article records of a primary-triage subset (``None``: of the whole base)."""
-    articles = _scoped(t, rules, base, restrict)
+    articles = _scoped(t, rules, base, restrict, require_text)
     if subset is not None:
         articles = articles.filter(SUBSETS[subset](rules))
     return _project(articles, t, rules, True, limit, [])
 
 
 def group_records(t: Tables, rules: Rules, group: str, search: str, restrict: bool = True,
-                  limit: int = 0) -> DataFrame:
+                  limit: int = 0, require_text: bool = True) -> DataFrame:
     """Article records of a curation-group search, with the class it implies.
 
     Unlike the triage subsets these accept any, not only the preferred, ID.
     """
     condition = search_condition(group, search, rules)
-    articles = _scoped(t, rules, "group", restrict)
+    articles = _scoped(t, rules, "group", restrict, require_text)
     if group == "go" and search != "unselected_after":
         articles = articles.join(go_curated(t, rules), "refs_key", "left_semi").withColumn(
             "go_curated", F.lit(True)

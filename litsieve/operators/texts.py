@@ -24,7 +24,8 @@ def assemble_text(parts: DataFrame, order: tuple[str, ...] = PART_ORDER,
                   keys: DataFrame | None = None) -> DataFrame:
     """(refs_key, ext_text): the text parts of each article in type order.
 
-    Pass ``keys`` to drop the parts of other articles before text is shuffled.
+    Pass ``keys`` to drop the parts of other articles first; stored keys of known
+    size let Spark do that before text is shuffled.
     The result is one string per article, so an article's parts meet in one row
     by definition; nothing else is collected there.
     """

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from litsieve.operators import selection, splits, texts
 from litsieve.operators.preprocess import preprocess
 from litsieve.rules import PRODUCTION, Rules
+from litsieve.session import materialise
 from litsieve.sources.tables import Tables
 
 AFTER = ("discard_after", "keep_after")
@@ -20,22 +21,33 @@ DEFAULT_STEPS = ("figureTextLegCloseWords50", "removeURLsCleanStem")
 
 
 def _with_text(records: DataFrame, t: Tables) -> DataFrame:
-    """Records first, text last: only the parts of these articles are shuffled."""
+    """Records first, text last.
+
+    The records are stored once, so the selection is not repeated to find whose
+    parts to read, and their known size lets Spark filter the parts by key
+    before it shuffles any text. The inner join drops articles without text.
+    """
+    records = materialise(records, "records")
     keys = records.select("refs_key").distinct()
-    return texts.join_text(records, texts.assemble_text(t.parts, keys=keys))
+    return records.join(texts.assemble_text(t.parts, keys=keys), "refs_key")
 
 
 def triage_subset(t: Tables, subset: str | None, rules: Rules = PRODUCTION, base: str = "triage",
                   restrict: bool = True, limit: int = 0, max_length: int = 0) -> DataFrame:
     """Samples of one primary-triage subset."""
-    records = selection.subset_records(t, rules, subset, base, restrict, limit)
+    # a limit counts articles with text, so it has to look at the parts first
+    records = selection.subset_records(
+        t, rules, subset, base, restrict, limit, require_text=limit > 0
+    )
     return texts.triage_samples(_with_text(records, t), max_length)
 
 
 def group_subset(t: Tables, group: str, search: str, rules: Rules = PRODUCTION,
                  restrict: bool = True, limit: int = 0, max_length: int = 0) -> DataFrame:
     """Samples of one curation-group search."""
-    records = selection.group_records(t, rules, group, search, restrict, limit)
+    records = selection.group_records(
+        t, rules, group, search, restrict, limit, require_text=limit > 0
+    )
     return texts.group_samples(_with_text(records, t), max_length)
 
 

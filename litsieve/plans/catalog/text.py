@@ -256,7 +256,14 @@ def _(x: Inputs):
     return vocabulary.select("word", stem.stem_words(F.col("word")).alias("stem"), "n_texts")
 
 
-@query("stream_preprocess")
+def _no_urls(c: str) -> str:
+    return f"lower(regexp_replace({c}, '{_URL}', '', 'g'))"
+
+
+@query("stream_preprocess", f"""
+    SELECT s."ID", {_no_urls('s.title')} AS title, {_no_urls('s.abstract')} AS abstract,
+      {_no_urls('c.text')} AS "extractedText"
+    FROM samples s JOIN ({_CLOSE}) c ON s."ID" = CAST(c.doc_id AS VARCHAR)""", _windows_ctes(50))
 def _(x: Inputs):
     """Sample files read as a stream, preprocessed and appended."""
     from litsieve.schema import REF

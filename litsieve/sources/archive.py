@@ -93,8 +93,13 @@ def replace_text(samples: DataFrame, side_texts: DataFrame) -> DataFrame:
 
 
 def write_by_journal(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Article texts below one folder per journal; a large journal spans many files."""
+    """Article texts below one folder per journal.
+
+    Rows are brought together by journal so that no task writes a file for each,
+    and a journal too large for one task is split into several files.
+    """
     (
         df.withColumn("journal", underscore_spaces(F.col("journal")))
+        .hint("rebalance", F.col("journal"))
         .write.mode(mode).partitionBy("journal").parquet(path)
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -13,7 +13,7 @@ class Tables:
 
     refs        refs_key, isdiscard, year, creation_date, isreview, ref_type_key,
                 createdby_key, journal, title, abstract      (refs_key unique)
-    parts       refs_key, part_no, text_type, text_part, haspdf
+    parts       refs_key, part_no, text_type, text_part, haspdf[, has_text]
     wf_status   refs_key, group_key, status_key, createdby_key, iscurrent
     tags        refs_key, tag_key
     status      refs_key, ap_status, gxd_status, go_status, tumor_status,
@@ -34,6 +34,11 @@ class Tables:
 TABLE_NAMES = tuple(f.name for f in fields(Tables))
 
 
+def flag_text(parts: DataFrame) -> DataFrame:
+    """Add ``has_text``; stored with the parts, it saves reading texts to see if there are any."""
+    return parts.withColumn("has_text", F.col("text_part").isNotNull())
+
+
 def from_parquet(spark: SparkSession, folder: str) -> Tables:
     return Tables(**{n: spark.read.parquet(f"{folder}/{n}.parquet") for n in TABLE_NAMES})
 

@@ -11,25 +11,22 @@ from pyspark.sql import functions as F
 from litsieve.functions import rewrite
 
 CASES = {
-    "before e12 after": "before embryonic_day after",
-    "before E 1 after": "before embryonic_day after",
-    "before E day 1 after": "before embryonic_day after",
-    "before embryonic day 7 after": "before embryonic_day after",
+    "at e12, E 1 and E9": "at embryonic_day, embryonic_day and embryonic_day",
+    "from E day 1 to embryonic day 7 on": "from embryonic_day to embryonic_day on",
     # three digits are no day, and "day" starts like a cell line
-    "before embryonic day 117 after": "before embryonic cell_line 117 after",
-    "before -/- e12. after": "before mut_mut embryonic_day. after",
-    "before tumours and tumor after": "before tumor_type and tumor_type after",
-    "before fig s1 fig a23 g6 after": "before figure  figure a23  after",
-    "before wildtypes wild type wt Wt wild\ntype wild-types after":
-        "before wild_type wild_type wild_type wild_type wild_type wild_type after",
-    "before knockout knocksouts knocked out knock out ko Ko knock\nout knock-outs after":
-        "before knock_out knock_out knock_out knock_out knock_out knock_out knock_out knock_out after",
-    "before knockin knocked-in knock ins after": "before knock_in knock_in knock_in after",
-    "before 1 cell 1-cell one-cell 2-cell blastocyst after":
-        "before early_embryo early_embryo early_embryo early_embryo early_embryo after",
-    "before genetrap gene traps gene-trapped after": "before gene_trap gene_trap gene_trap after",
-    "B-16, B-16blah. B16 SP2/0 blah f9 F19": "cell_line, cell_line. cell_line cell_line blah  F19",
-    "adenoma fooadenoma xxxinoma neoplasms": "tumor_type tumor_type tumor_type tumor_type",
+    "until embryonic day 117 at most": "until embryonic cell_line 117 at most",
+    "our -/- e12. line": "our mut_mut embryonic_day. line",
+    "two tumours, one tumor": "two tumor_type, one tumor_type",
+    "see fig s1 (fig a23) g6 too": "see figure  (figure a23)  too",
+    "wildtypes, wild type; wt Wt wild\ntype wild-types":
+        "wild_type, wild_type; wild_type wild_type wild_type wild_type",
+    "knockout knocksouts knocked out: ko Ko knock\nout knock-outs":
+        "knock_out knock_out knock_out: knock_out knock_out knock_out knock_out",
+    "knockin, knocked-in, knock ins": "knock_in, knock_in, knock_in",
+    "1 cell, 2-cell, one-cell, blastocyst": "early_embryo, early_embryo, early_embryo, early_embryo",
+    "genetrap, gene traps, gene-trapped": "gene_trap, gene_trap, gene_trap",
+    "B16, b-16x. SP2/0 but f9 or F19": "cell_line, cell_line. cell_line but  or F19",
+    "adenoma myadenoma carcinoma neoplasms": "tumor_type tumor_type tumor_type tumor_type",
     "sarcoma 180 R1.1 RxL1": "tumor_type 180 cell_line RxL1",
     # a hit ends the text as far as word boundaries go
     "ko-/- mice": "knock_out-/- mice",
@@ -100,7 +97,8 @@ def test_texts_with_framing_characters(one):
     assert one(texts, rewrite.rewrite) == [model(t) for t in texts]
 
 
-def test_golden_document(one):
+def test_published_document(one):
+    # A published example and its result.
     text = (
         "My text: it's a knock out https://foo text www.foo.org word word  -/-.\n\n"
         "This could be a table reference paragraph.\n\nFigure. 1: this is a figure legend\n\n"

@@ -11,10 +11,10 @@ from litsieve.operators import preprocess as pre
 from litsieve.operators import splits, reports, texts
 from litsieve.sources import archive, lists, predictions, samples
 
-ONE = "discard|pmID1|10/3/2017|1901|1|peer reviewed|s|a|g|o|t|q|journal1|title1|abstract1|text1"
+ONE = "discard|pm-1|03/04/2018|2018|1|Peer Reviewed|x|Rejected|b|c|d|e|Cell|A title|Some words|All words"
 TWO = (
-    "keep|pmID2|01/01/1900|1900|0|non-peer reviewed|s|a|g|o|t|q|Journal of Insomnia|My Title|\n"
-    "My Abstract|My text\n\nmore -/-.\n"
+    "keep|pm-2|11/12/2019|2019|0|Other|x|Chosen|b|c|d|e|Journal of Sleep|Second title|\n"
+    "Second words|A line\n\nand another one -/-.\n"
 )
 
 
@@ -32,7 +32,7 @@ def test_read_with_meta_and_header(spark, tmp_path):
     path = str(tmp_path / "in")
     assert samples.read_meta(spark, path)["date"] == "09/18/2019"
     rows = samples.read_samples(spark, path).orderBy("ID").collect()
-    assert [r.ID for r in rows] == ["pmID1", "pmID2"]
+    assert [r.ID for r in rows] == ["pm-1", "pm-2"]
     assert "|".join(rows[0]) == ONE and "|".join(rows[1]) == TWO
 
 
@@ -66,9 +66,9 @@ def test_fields_and_classes():
 
 
 def test_conform_ignores_unknown_and_fills_missing(spark):
-    df = spark.createDataFrame([("keep", "pmID4", "text", "x")], "knownClassName string, ID string, extractedText string, foo string")
+    df = spark.createDataFrame([("keep", "pm-4", "text", "x")], "knownClassName string, ID string, extractedText string, foo string")
     row = schema.PRIM_TRIAGE.conform(df).first()
-    assert (row.ID, row.journal, row.extractedText) == ("pmID4", "", "text")
+    assert (row.ID, row.journal, row.extractedText) == ("pm-4", "", "text")
 
 
 def test_class_names(spark):
@@ -100,6 +100,7 @@ def test_union_needs_one_type(spark):
 
 
 def test_preprocess_chain(spark):
+    # A published example and its result.
     df = spark.createDataFrame(
         [("pmID3", "My Title", "\nMy Abstract: w/ http://url.org end abstract",
           "\nMy text: https://foo text www.foo.org and text.\n")],
@@ -114,16 +115,15 @@ def test_preprocess_chain(spark):
 
 def test_text_assembly(spark):
     parts = spark.createDataFrame(
-        [(1234, 5, "author manuscript fig legends", " & author figs"), (1234, 4, "star methods", " & star text"),
-         (1234, 3, "supplemental", " & supp text"), (1234, 2, "reference", " & ref text"),
-         (1234, 1, "body", "here is a body text"), (2345, 1, "body", "a second body text"),
-         (4567, 1, "supplemental", "text"), (4567, 2, "body", None)],
+        [(1, 5, "author manuscript fig legends", "+legends"), (1, 4, "star methods", "+star"),
+         (1, 3, "supplemental", "+extra"), (1, 2, "reference", "+refs"), (1, 1, "body", "body"),
+         (2, 1, "body", "other body"), (3, 1, "supplemental", "unused"), (3, 2, "body", None)],
         "refs_key long, part_no int, text_type string, text_part string",
     )
-    refs = spark.createDataFrame([(1234,), (2345,), (7890,)], "refs_key long")
+    refs = spark.createDataFrame([(1,), (2,), (9,)], "refs_key long")
     joined = texts.join_text(refs, texts.assemble_text(parts, keys=refs)).orderBy("refs_key").collect()
     assert [r.ext_text for r in joined] == [
-        "here is a body text & ref text & author figs & star text & supp text", "a second body text", "",
+        "body+refs+legends+star+extra", "other body", "",
     ]
     with pytest.raises(PySparkException):
         texts.join_text(refs, texts.assemble_text(parts), allow_no_text=False).collect()
@@ -189,6 +189,26 @@ def test_id_lists(spark, tmp_path):
     assert {r.journal for r in lists.read_journals(spark, str(tmp_path / "j.txt")).collect()} == {"aging_cell", "cell"}
 
 
+def test_known_id_export(spark, tmp_path):
+    rows = [(str(i), "1", str(2010 + i % 3), f"J{i % 4}") for i in range(50)]
+    df = spark.createDataFrame(rows, lists.KNOWN_ID_SCHEMA).orderBy("journal", "pubmed")
+    path = str(tmp_path / "ids")
+    lists.write_known_ids(df, path)
+    back = lists.read_known_ids(spark, path)
+    assert back.count() == 50 and back.exceptAll(df).count() == 0
+
+
+def test_text_folders(spark, tmp_path):
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, "PLoS One").otherwise(F.concat(F.lit("J "), F.col("id") % 7)).alias("journal"),
+        F.col("id").cast("string").alias("text"),
+    )
+    archive.write_by_journal(df, str(tmp_path / "out"))
+    folders = {p.name for p in (tmp_path / "out").iterdir() if p.is_dir()}
+    assert "journal=PLoS_One" in folders and len(folders) == 8
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
+
+
 def test_articles(spark, tmp_path):
     write(
         tmp_path / "xml" / "a.xml",

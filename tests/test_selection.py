@@ -236,3 +236,14 @@ def test_three_way_shares(spark):
     counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     assert 0.14 < counts["test"] / 20_000 < 0.16 and 0.19 < counts["val"] / 20_000 < 0.21
     assert out.filter("id >= 20000 AND split <> 'train'").count() == 0
+
+
+def test_text_flag_and_limit(tables):
+    from dataclasses import replace
+
+    from litsieve.sources.tables import flag_text
+
+    flagged = replace(tables, parts=flag_text(tables.parts))
+    assert keys(selection.base_set(flagged, R)) == keys(selection.base_set(tables, R))
+    limited = build.triage_subset(tables, "keep_after", restrict=False, limit=3)
+    assert {r.ID for r in limited.collect()} == {"101", "106", "107"}
