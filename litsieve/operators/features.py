@@ -16,7 +16,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_SMALL_SHARE = 0.001
+_SMALL_SHARE = 0.005
 
 # Two or more word characters. Fixed value.
 FEATURE_TOKEN = r"\b\w\w+\b"

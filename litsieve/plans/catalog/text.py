@@ -64,7 +64,7 @@ def _(x: Inputs):
     return samples.select("ID", pre.document(samples).alias("document"))
 
 
-@query("text_lengths", """SELECT "ID", length(abstract) AS "abstractLen", length("extractedText") AS "textLen"
+@query("text_lengths", """SELECT "ID", CAST(length(abstract) AS INT) AS "abstractLen", CAST(length("extractedText") AS INT) AS "textLen"
     FROM samples""")
 def _(x: Inputs):
     return pre.with_lengths(x.view("samples")).select("ID", "abstractLen", "textLen")

@@ -111,3 +111,18 @@ def test_published_document(one):
         " my text it knock_out text word word mut_mut this could be tabl refer paragraph figur this "
         "is figur legend the final word",
     ]
+
+
+def test_very_long_runs(one):
+    """Texts without a break neither overflow the matcher nor take forever."""
+    from litsieve.functions import clean, figures
+
+    n = 300_000
+    runs = ["da" + "x" * n, "é" * n, "-/" * n, "a" * n + "lymphoma", "knock" + " " * n + "out", "a1 " * n,
+            "fig " * n, "http://" + "y" * n]
+    got = one(runs, rewrite.rewrite)
+    assert got[0] == "cell_line" and got[3] == "tumor_type" and got[5] == " " * n
+    assert len(one(runs, clean.remove_urls)[7]) == 0
+    assert one(runs, lambda c: figures.figure_text(c, n=2))[6] == ("fig " * n).strip()
+    assert one(runs, rewrite.clean_without_stem)[0] == " cell_line"
+    assert [len(p) for p in one(runs, figures.paragraphs)] == [1] * len(runs)
