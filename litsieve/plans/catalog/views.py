@@ -130,6 +130,14 @@ VIEWS: dict[str, str] = {
 }
 
 
+# Views with costly rows, and the key that deals out a small input file.
+_SPREAD = {
+    ("corpus", "documents"): "doc_id",
+    ("parts", "lineitem"): "l_orderkey",
+    ("files", "lineitem"): "l_orderkey",
+}
+
+
 def _needed(sql: str, known: dict[str, str]) -> list[str]:
     """Views the SQL mentions, each after the ones it builds on."""
     order: list[str] = []
@@ -175,8 +183,8 @@ class Inputs:
         for table in BASE_TABLES:
             if re.search(rf"\b{table}\b", sql):
                 df = self.table(table)
-                # whole texts are read for CPU-bound work
-                df = spread(df, "doc_id") if name == "corpus" and table == "documents" else df
+                if (name, table) in _SPREAD:
+                    df = spread(df, _SPREAD[name, table])
                 df.createOrReplaceTempView(table)
         return self.spark.sql(sql)
 
