@@ -20,8 +20,9 @@ from litsieve.operators.features import TermVectorizer, with_class_weight, with_
 from litsieve.operators.reports import class_report
 from litsieve.session import materialise
 
-# Model settings of the published classifiers. Fixed values. Spark's boosted trees have no minimum size for a node to be split; the minimum
-# leaf size bounds it instead.
+# Model settings of the published classifiers. Fixed values. Spark's boosted
+# trees have no minimum size for a node to be split; the minimum leaf size bounds
+# it instead. Forests are as deep as Spark allows, since theirs had no limit.
 MODELS: dict[str, tuple[type, dict[str, Any]]] = {
     "gbt": (
         GBTClassifier,
@@ -30,13 +31,13 @@ MODELS: dict[str, tuple[type, dict[str, Any]]] = {
     ),
     "rf": (
         RandomForestClassifier,
-        {"numTrees": 50, "minInstancesPerNode": 15, "maxDepth": 20},
+        {"numTrees": 50, "minInstancesPerNode": 15, "maxDepth": 30},
     ),
     "logistic": (
         LogisticRegression,
         {"regParam": 0.5, "elasticNetParam": 0.0, "standardization": False},
     ),
-    "svm": (LinearSVC, {"regParam": 0.0001, "standardization": False, "maxIter": 100}),
+    "svm": (LinearSVC, {"regParam": 0.0001, "standardization": False, "maxIter": 1000, "tol": 0.001}),
 }
 BALANCED = {"rf", "logistic", "svm"}
 

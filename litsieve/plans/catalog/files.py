@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from litsieve.plans.catalog.registry import query
 from litsieve.plans.catalog.views import Inputs
-from litsieve.schema import CLASSIFIED_REF, PREDICTION_FIELDS
+from litsieve.schema import CLASSIFIED_REF
 from litsieve.session import scratch_path
 from litsieve.sources import archive, lists, predictions, samples
 

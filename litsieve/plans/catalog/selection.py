@@ -10,7 +10,6 @@ from litsieve.plans import build
 from litsieve.plans.catalog.registry import query
 from litsieve.plans.catalog.views import RULES, Inputs
 from litsieve.rules import GROUP_COLUMNS
-from litsieve.schema import PRIM_TRIAGE
 
 _SELECTED = "('Chosen', 'Indexed', 'Full-coded')"
 _ANY = "(" + " OR ".join(f"s.{c} IN {_SELECTED}" for c in GROUP_COLUMNS.values()) + ")"
