@@ -96,9 +96,10 @@ def mappings(dictionary: str = "exact", space: str = ANY_SPACE,
     return [
         Mapping("tt", f"(?:{tumor})s?", "tumor_type", f"(?=[a-z]++(?<=(?:{tumor_tail})s?))"),
         Mapping(
-            "cl", f"(?:{_by_first_character(CELL_LINE_PREFIXES)}){non_space}*", "cell_line"
+            "cl", f"(?:{_by_first_character(CELL_LINE_PREFIXES)}){non_space}*", "cell_line",
+            r"(?=\w)",
         ),
-        Mapping("cn", _by_first_character(names), "cell_line"),
+        Mapping("cn", _by_first_character(names), "cell_line", r"(?=\w)"),
         Mapping("mice", "mouse|mous|murine", "mice"),
         Mapping("ko", f"ko|knock(?:ed|s)?{gap}?outs?", "knock_out"),
         Mapping("ki", f"knock(?:ed)?{gap}?ins?", "knock_in"),

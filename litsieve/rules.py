@@ -33,11 +33,12 @@ class Rules:
     # earliest "selected before" date per curation group (absent = no bound)
     group_start: Mapping[str, str] = field(default_factory=dict)
 
+    # Status words.
     selected: tuple[str, ...] = ("Chosen", "Indexed", "Full-coded")
     not_selected: tuple[str, ...] = ("Not Routed", "Rejected")
     rejected: str = "Rejected"
 
-    # key values of the workflow tables
+    # Keys of the workflow tables.
     go_group: Any = 31576666
     go_indexed: Any = 31576673
     go_selected: tuple[Any, ...] = (31576671, 31576673, 31576674)
@@ -54,6 +55,7 @@ class Rules:
     supp_status: str = "ignore supp term"
 
 
+# Dates of the published builds.
 PRODUCTION = Rules(
     start_date="2017-01-01",
     triage_date="2017-10-31",
