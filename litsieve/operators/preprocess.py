@@ -96,6 +96,19 @@ def blurb_rows(df: DataFrame, key: str, text: str, kind: str = "legCloseWords",
     return df.select(key, F.posexplode(figures.converter(kind, n)(F.col(text))).alias("pos", "blurb"))
 
 
+# Lines between and after the passages of a text. Fixed values.
+_BLURB_LINE, _LAST_LINE = "-" * 15, "-" * 13
+
+
+def blurb_blocks(text: Column, kind: str = "legCloseWords", n: int = 50) -> Column:
+    """The figure passages of a text as blocks under dashed lines."""
+    blocks = F.transform(
+        figures.converter(kind, n)(text),
+        lambda b: F.concat(F.lit(f"{_BLURB_LINE}\n"), b, F.lit("\n")),
+    )
+    return F.concat(F.array_join(blocks, ""), F.lit(f"{_LAST_LINE}\n"))
+
+
 def blurb_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Passages of an article that one extraction has more often than the other.
 

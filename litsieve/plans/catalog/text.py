@@ -193,6 +193,14 @@ def _(x: Inputs):
     return pre.blurb_rows(x.view("clean"), "doc_id", "text", n=5)
 
 
+@query("blurb_blocks", f"""
+    SELECT c.doc_id, coalesce(b.blocks, '') || repeat('-', 13) || chr(10) AS blocks FROM clean c LEFT JOIN
+      (SELECT doc_id, string_agg(repeat('-', 15) || chr(10) || blurb || chr(10), '' ORDER BY pos) AS blocks
+       FROM ({_BLURBS}) x GROUP BY doc_id) b ON c.doc_id = b.doc_id""", _windows_ctes(5))
+def _(x: Inputs):
+    return x.view("clean").select("doc_id", pre.blurb_blocks(F.col("text"), n=5).alias("blocks"))
+
+
 @query("blurb_diff", f"""
     SELECT doc_id, blurb, CAST(sum(o) AS BIGINT) AS n_old, CAST(sum(n) AS BIGINT) AS n_new FROM
       (SELECT doc_id, blurb, 1 AS o, 0 AS n FROM ({_BLURBS}) x

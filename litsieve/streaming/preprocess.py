@@ -6,7 +6,7 @@ everything that counts belongs to the batch jobs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -28,10 +28,16 @@ def stream_samples(spark: SparkSession, path: str, kind: SampleType,
 
 
 def start(samples: DataFrame, steps: Iterable[str], out: str, checkpoint: str,
+          score: Callable[[DataFrame], DataFrame] | None = None,
           once: bool = False) -> StreamingQuery:
-    """Preprocess and append to a parquet folder; ``once`` stops after what is there."""
+    """Preprocess, score if asked to, and append to a parquet folder.
+
+    ``score`` is a row-local step such as applying a model; ``once`` stops after
+    the files that are there.
+    """
+    rows = preprocess(samples, steps)
     writer = (
-        preprocess(samples, steps)
+        (score(rows) if score else rows)
         .writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)
     )

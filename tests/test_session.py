@@ -56,3 +56,26 @@ def test_stream_picks_up_new_files(spark, tmp_path):
     arrive("2", "append")
     rows = spark.read.parquet(out).orderBy("ID").collect()
     assert [(r.ID, r.extractedText) for r in rows] == [("1", "see  figure 1"), ("2", "see  figure 1")]
+
+
+def test_stream_scores_samples(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from litsieve.operators import features, learning
+    from litsieve.operators.preprocess import document
+
+    def words(df):
+        return features.with_words(df.withColumn("text", document(df))).drop("text")
+
+    rows = [(str(i), "T", "A", "mice knock_out" if i % 2 else "patient clinic") for i in range(40)]
+    samples = spark.createDataFrame(rows, "ID string, title string, abstract string, extractedText string")
+    labelled = words(samples).withColumn("label", (F.col("ID").cast("int") % 2))
+    model = learning.fit(labelled, "logistic", maxIter=10)
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    write_samples(samples, inbox, REF)
+    stream.start(
+        stream.stream_samples(spark, inbox, REF), ["removeURLs"], out, state,
+        score=lambda df: learning.predict(model, words(df)).drop("words"), once=True,
+    ).awaitTermination()
+    got = {r.ID: r.pred_class for r in spark.read.parquet(out).collect()}
+    assert got == {k: "keep" if int(k) % 2 else "discard" for k in got} and len(got) == 40
