@@ -371,18 +371,18 @@ def not_covered(names: DataFrame, wildcards: DataFrame, name: str = "name",
                 wildcard: str = "prefix") -> DataFrame:
     """Distinct names that no wildcard such as ``MCA*`` covers, whatever the case.
 
-    Each name is looked up by its own leading pieces, so this is an equi-join on
-    short keys instead of a comparison of every name with every wildcard.
+    Each name is looked up by its own leading pieces, up to the longest wildcard,
+    so this is an equi-join on short keys instead of a comparison of every name
+    with every wildcard.
     """
     stems = wildcards.select(F.lower(F.rtrim(F.col(wildcard), F.lit("*"))).alias("stem")).distinct()
+    longest = stems.agg(F.max(F.length("stem"))).scalar()
     distinct = names.select(name).distinct()
-    pieces = distinct.filter(F.length(name) > 0).select(
+    lengths = F.sequence(F.lit(0), F.least(F.length(name), F.col("_longest")))
+    pieces = distinct.withColumn("_longest", longest).select(
         name,
         F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length(name)),
-                lambda n: F.lower(F.col(name).substr(F.lit(1), n)),
-            )
+            F.transform(lengths, lambda n: F.lower(F.col(name).substr(F.lit(1), n)))
         ).alias("stem"),
     )
     covered = pieces.join(stems, "stem", "left_semi").select(name).distinct()

@@ -137,6 +137,8 @@ def test_prefixes(spark):
     names = spark.createDataFrame([("MCA-K",), ("mcf",), ("HeLa",), ("HeLa",), ("",)], "name string")
     wild = spark.createDataFrame([("MCA*",), ("WEHI*",)], "prefix string")
     assert sorted(r.name for r in selection.not_covered(names, wild).collect()) == ["", "HeLa", "mcf"]
+    assert selection.not_covered(names, wild.filter("false")).count() == 4
+    assert selection.not_covered(names, spark.createDataFrame([("*",)], "prefix string")).count() == 0
 
 
 # -- archives ----------------------------------------------------------------
