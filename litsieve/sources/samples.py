@@ -28,8 +28,9 @@ def to_record(kind: SampleType) -> Column:
 
 def parse_records(records: DataFrame, kind: SampleType, value: str = "value") -> DataFrame:
     """Record text -> sample fields; drops blank, meta and header records."""
-    # a line break between records belongs to neither
-    text = F.regexp_replace(F.col(value), f"^{ANY_SPACE}+", "")
+    # A line break between records belongs to neither; a semicolon in front is
+    # the end of a text that ended in one, just before its record end.
+    text = F.regexp_replace(F.col(value), f"^;?{ANY_SPACE}*", "")
     rows = records.select(text.alias("record")).filter(
         (F.col("record") != "")
         & ~F.col("record").startswith(META_MARK)
@@ -58,8 +59,11 @@ def read_samples(spark: SparkSession, path: str, kind: SampleType | None = None)
 
 def write_samples(df: DataFrame, path: str, kind: SampleType,
                   meta: Mapping[str, str] | None = None, mode: str = "errorifexists") -> None:
+    record = to_record(kind)
+    # keep a final semicolon apart from the record end
+    record = F.when(record.endswith(";"), F.concat(record, F.lit(" "))).otherwise(record)
     (
-        df.select(to_record(kind).alias("value"))
+        df.select(record.alias("value"))
         .write.mode(mode).option("lineSep", RECORD_END).text(path)
     )
     stamp_meta(df.sparkSession, path, {"sampleObjType": kind.name, **(meta or {})})

@@ -48,6 +48,16 @@ def test_write_read(spark, tmp_path):
     assert samples.read_meta(spark, path) == {"sampleObjType": kind.name, "date": "today"}
 
 
+def test_final_semicolon(spark, tmp_path):
+    write(tmp_path / "in" / "part", "1|t|a|text;;;;2|t|a|more;;;3|t|a|last;;")
+    got = samples.read_samples(spark, str(tmp_path / "in"), schema.REF).orderBy("ID").collect()
+    assert [r.ID for r in got] == ["1", "2", "3"]
+    df = spark.createDataFrame([("1", "t", "a", "ends in ;")], schema.REF.struct)
+    path = str(tmp_path / "out")
+    samples.write_samples(df, path, schema.REF)
+    assert samples.read_samples(spark, path).first().extractedText == "ends in ; "
+
+
 def test_wrong_width_fails(spark):
     bad = spark.createDataFrame([("keep|only|three",)], "value string")
     with pytest.raises(PySparkException):
