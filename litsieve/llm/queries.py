@@ -8,18 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from litsieve.llm import (
     decontam,
+    html_extract,
     license_scan,
     mixing,
     pii,
     quality,
     secret_scan,
     simhash,
+    toxicity,
 )
 from litsieve.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scanned(table(spark, sf_dir, "documents"))
 
@@ -51,7 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op3_pii, op4_mixing, op5_secrets, op6_quality, op8_licenses, op9_simhash, op10_decontamination,
+        op1_main_text, op2_toxicity, op3_pii, op4_mixing, op5_secrets, op6_quality, op8_licenses, op9_simhash, op10_decontamination,
     )
 }
 
