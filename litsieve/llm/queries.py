@@ -15,6 +15,7 @@ from litsieve.llm import (
     quality,
     secret_scan,
     simhash,
+    substring_dedup,
     toxicity,
 )
 from litsieve.llm.common import table
@@ -46,6 +47,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scanned(table(spark, sf_dir, "documents"))
 
@@ -61,7 +66,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_main_text, op2_toxicity, op3_pii, op4_mixing, op5_secrets, op6_quality, op8_licenses, op9_simhash, op10_decontamination,
+        op1_main_text, op2_toxicity, op3_pii, op4_mixing, op5_secrets, op6_quality, op7_repeats, op8_licenses, op9_simhash, op10_decontamination,
     )
 }
 
