@@ -29,10 +29,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from litsieve import session
 from litsieve.llm import common
 
 WINDOW = 35
@@ -40,7 +39,7 @@ PERIOD = 21
 #: A perfect difference set: every number but 0 modulo 21 is a difference of two members.
 COVER = (0, 1, 4, 14, 16)
 #: Bytes of text that a part holds, in expectation.
-PART_BYTES = 6_000_000
+PART_BYTES = 4_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -129,15 +128,23 @@ def _unsigned(table: pa.Table, kind: int) -> np.ndarray:
 
 
 def _name_anchors(cover: Cover):
-    """Each (anchor, surroundings) of a part once, with whether it is there twice."""
+    """Each anchor of a part once: its surroundings, if they differ, if it is there twice."""
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
         w = Words(part["text"].to_pylist())
         _, anchor, around = cover.anchors(w)
-        both, count = np.unique(np.stack([anchor, around], 1), axis=0, return_counts=True)
-        many = np.minimum(count, 2).astype(np.int8)
-        return pa.table({"key": _signed(both[:, 0].copy()), "around": _signed(both[:, 1].copy()),
-                         "part": pa.array(np.full(len(both), key[0].as_py(), np.int32)), "n": pa.array(many)})
+        order = np.argsort(anchor, kind="stable")
+        anchor, around = anchor[order], around[order]
+        first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]]) if len(anchor) else order
+        count = np.diff(np.r_[first, len(anchor)])
+        least, most = (f.reduceat(around, first) if len(first) else around for f in (np.minimum, np.maximum))
+        return pa.table(
+            {
+                "key": _signed(anchor[first]), "around": _signed(least), "mixed": pa.array(least != most),
+                "part": pa.array(np.full(len(first), key[0].as_py(), np.int32)),
+                "n": pa.array(np.minimum(count, 2).astype(np.int8)),
+            }
+        )
 
     return run
 
@@ -210,23 +217,22 @@ def deduplicated(docs: DataFrame, cover: Cover | None = None, part_bytes: int =
     cover = cover or Cover()
     dealt = _parts(docs, part_bytes)
     kind = "key bigint, part int, n tinyint"
-    named = dealt.groupBy("part").applyInArrow(_name_anchors(cover), "around bigint, " + kind)
-    named = session.materialise(named.select("key", "around", "part", "n"), "anchors")
-    met = named.groupBy("key").agg(
-        F.sum("n").alias("n"), F.min("around").alias("least"), F.max("around").alias("most")
-    )
-    met = met.filter("n > 1").select("key", (F.col("least") != F.col("most")).cast("int").alias("kind"))
-    told = named.join(met, "key").select("part", "kind", "key").distinct()
-    told = session.materialise(told, "repeated-anchors")
+    named = dealt.groupBy("part").applyInArrow(_name_anchors(cover), "around bigint, mixed boolean, " + kind)
+    # an anchor has one row a part, so even the most common one is a small group
+    same = Window.partitionBy("key")
+    mixed = F.max("mixed").over(same) | (F.min("around").over(same) != F.max("around").over(same))
+    told = named.select("part", "key", mixed.cast("int").alias("kind"), F.sum("n").over(same).alias("n"))
+    told = told.filter("n > 1").select("part", "kind", "key")
 
     def asked(known: DataFrame, step, schema: str) -> DataFrame:
         return dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(step, schema)
 
-    windows = session.materialise(asked(told, _name_windows(cover), kind), "windows")
+    # one plan: Spark deals the texts out once and reads what it has dealt three times
+    windows = asked(told, _name_windows(cover), kind)
     alone = windows.groupBy("key").agg(F.sum("n").alias("n"), F.max("part").alias("part")).filter("n = 1")
     told = told.union(alone.select("part", F.lit(2).alias("kind"), "key"))
-    types = dict(docs.select(common.field("doc_id").alias("doc_id")).dtypes)["doc_id"]
+    ident = dict(dealt.dtypes)["doc_id"]
     return asked(
         told, _decide(cover),
-        f"doc_id {types}, n_words bigint, n_removed bigint, kept_sha256 string, kept string",
+        f"doc_id {ident}, n_words bigint, n_removed bigint, kept_sha256 string, kept string",
     )
