@@ -158,7 +158,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["anchor", "lo", "hi"]
     held: list[np.ndarray] | None = None
 
-    def linked(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+    def compared(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
         ends = np.r_[starts[1:], len(prints)]
         a, b = [], []
@@ -185,9 +185,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = int(np.flatnonzero((keys != keys[-1]).any(axis=1)).max(initial=-1)) + 1
         held = [keys[last:].copy(), prints[last:].copy()]
         if last:
-            yield linked(keys[:last], prints[:last])
+            yield compared(keys[:last], prints[:last])
     if held is not None:
-        yield linked(*held)
+        yield compared(*held)
 
 
 def links(distinct: DataFrame, tile: int = TILE) -> DataFrame:
@@ -208,18 +208,10 @@ def links(distinct: DataFrame, tile: int = TILE) -> DataFrame:
     return rows.mapInArrow(_compare, "a bigint, b bigint").distinct()
 
 
-def classes(prints: DataFrame, tile: int = TILE) -> DataFrame:
-    """(fp, root, component_id): class and least reachable doc_id of each fingerprint.
-
-    ``prints`` has doc_id and fp and is read several times, so hand in stored rows.
-    """
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = graph.components(links(distinct, tile))
-    whole = distinct.join(roots, distinct["fp"] == roots["a"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    least = whole.groupBy("root").agg(F.min("first").alias("component_id"))
-    return whole.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+def rooted(distinct: DataFrame, tile: int = TILE) -> DataFrame:
+    """Distinct fingerprints (fp and more) with ``root``, the least one reachable."""
+    roots = graph.components(links(distinct, tile)).withColumnRenamed("a", "fp")
+    return distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def linked(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
@@ -230,7 +222,11 @@ def linked(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
         ),
         "simhash",
     )
-    out = prints.join(classes(prints), "fp")
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    whole = rooted(distinct)
+    least = whole.groupBy("root").agg(F.min("first").alias("component_id"))
+    classes = whole.select("fp", "root").join(least, "root").select("fp", "component_id")
+    out = prints.join(classes, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -245,9 +241,9 @@ def keep_one(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     rows = session.materialise(
         rows.select("doc", "fp", F.monotonically_increasing_id().alias("row")), "simhash"
     )
-    prints = rows.select(F.col("doc").getField("doc_id").alias("doc_id"), "fp", "row")
-    named = prints.join(classes(prints.select("doc_id", "fp")), "fp")
-    first = named.groupBy("root").agg(
-        F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")
-    )
-    return common.unpacked(rows.join(first.select("row"), "row", "left_semi"), docs)
+    ident = F.col("doc").getField("doc_id")
+    place = F.struct(ident.isNull().alias("nameless"), ident.alias("doc_id"), "row")
+    distinct = rows.groupBy("fp").agg(F.min(place).alias("best"))
+    # a class only meets in an aggregate, which is combined before the shuffle
+    best = rooted(distinct).groupBy("root").agg(F.min("best").alias("best"))
+    return common.unpacked(rows.join(best.select(F.col("best.row").alias("row")), "row", "left_semi"), docs)
