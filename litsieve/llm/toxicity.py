@@ -22,10 +22,12 @@ of toxic labels (0 without labels).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,9 +56,20 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
-def forms(token: str) -> list[str]:
-    """A token and its beginnings, marked as such."""
-    return [token, *("^" + token[:k] for k in STEMS if len(token) > k)]
+def forms(token: str) -> list[int]:
+    """Hashes of a token and of its beginnings, marked as such, as signed numbers."""
+    found = [token, *("^" + token[:k] for k in STEMS if len(token) > k)]
+    return [xxhash.xxh3_64_intdigest(f.encode("utf-8", "surrogatepass")) - 2**63 for f in found]
+
+
+class _Forms(dict):
+    """Forms of tokens, hashed once each; started anew when it grows large."""
+
+    def __missing__(self, token: str) -> list[int]:
+        if len(self) > 1 << 18:
+            self.clear()
+        self[token] = value = forms(token)
+        return value
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -86,7 +99,7 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 class _Line(dict):
     """Scores of tokens, looked up once each; started anew when it grows large."""
 
-    def __init__(self, scores: dict[str, float], drift: float):
+    def __init__(self, scores: dict[int, float], drift: float):
         super().__init__()
         self.scores, self.drift = scores, drift
 
@@ -102,7 +115,7 @@ class _Line(dict):
 class Model:
     """Scores of forms, the drift, the extreme-value law and the logistic weights."""
 
-    scores: dict[str, float] = field(default_factory=dict)
+    scores: dict[int, float] = field(default_factory=dict)
     drift: float = DRIFT
     decay: float = 1.0
     scale: float = 1.0
@@ -165,38 +178,43 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0) -> tuple[float, ...
     return tuple(float(v) for v in w)
 
 
-def _forms(text: Column) -> Column:
-    """The distinct forms in a text, and the least hash of them, alike for near copies."""
+def _sign(text: Column) -> Column:
+    """The least hash of the words of a text, alike for near copies; NULL without words."""
 
-    @F.arrow_udf("array<string>")
-    def count(texts: pa.Array) -> pa.Array:
-        rows = [sorted({f for w in set(tokens(t.as_py())) for f in forms(w)}) for t in texts]
-        return pa.array(rows, pa.list_(pa.string()))
+    @F.arrow_udf("bigint")
+    def least(texts: pa.Array) -> pa.Array:
+        memo = _Forms()
+        return pa.array([min((memo[w][0] for w in set(tokens(t.as_py()))), default=None) for t in texts], pa.int64())
 
-    return count(text)
+    return least(text)
 
 
-_BINS = np.linspace(-10, 10, 201)
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(form, bad, good): documents of either label with a form, added up by the chunk."""
+    memo = _Forms()
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            found, labels = [], []
+            for label, text in zip(part["label"].to_pylist(), part["text"].to_pylist()):
+                keys = {f for w in set(tokens(text)) for f in memo[w]}
+                found.append(np.fromiter(keys, np.int64, len(keys)))
+                labels.append(np.full(len(keys), label))
+            keys, place = np.unique(np.concatenate(found), return_inverse=True)
+            bad = np.bincount(place, np.concatenate(labels), len(keys)).astype(np.int64)
+            every = np.bincount(place, minlength=len(keys))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), pa.array(bad), pa.array(every - bad)], ["form", "bad", "good"]
+            )
 
 
-def _odds(rows: DataFrame, vocabulary: int) -> dict[str, float]:
-    """Shrunk log-odds of the forms of (label, text), at most ``vocabulary`` of them.
+_BINS = np.linspace(-10, 10, 201)
 
-    Near copies, which have the same least hash, count once, or a copied text would make
-    words of its own look telling.
-    """
-    one = rows.select("label", _forms(F.col("text")).alias("forms"))
-    sign = F.array_min(F.transform("forms", lambda f: F.xxhash64(f)))
-    one = one.withColumn("sign", sign).filter("sign is not null")
-    shares = one.groupBy("label").agg(F.count_distinct("sign").alias("n")).collect()
-    number = {r.label: r.n for r in shares}
-    bad, good = number.get(1, 0), number.get(0, 0)
-    if not bad or not good:
-        return {}
-    each = one.select("label", "sign", F.explode("forms").alias("form")).distinct()
-    counts = each.groupBy("form").agg(
-        F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")
-    )
+
+def _odds(rows: DataFrame, bad: int, good: int, vocabulary: int) -> dict[int, float]:
+    """Shrunk log-odds of the forms of (label, text), at most ``vocabulary`` of them."""
+    counts = rows.mapInArrow(_count, "form bigint, bad bigint, good bigint")
+    counts = counts.groupBy("form").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     prior = PRIOR * (F.col("bad") + F.col("good")) / (bad + good)
 
     def odds(seen: Column, every: int) -> Column:
@@ -212,10 +230,13 @@ def _odds(rows: DataFrame, vocabulary: int) -> dict[str, float]:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY) -> Model:
     """Fit a model to ``labels.toxic``; what the driver sees is bounded by the parameters."""
-    rows = session.materialise(common.labelled_texts(docs, labels, "toxic", sample).limit(sample), "toxic")
+    rows = common.labelled_texts(docs, labels, "toxic", sample)
+    # near copies count once, or a copied text would make words of its own look telling
+    rows = rows.groupBy("label", _sign(F.col("text")).alias("sign")).agg(F.min("text").alias("text"))
+    rows = session.materialise(rows.select("label", "text"), "toxic")
     number = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     bad, good = number.get(1, 0), number.get(0, 0)
-    scores = _odds(rows, vocabulary) if bad and good else {}
+    scores = _odds(rows, bad, good, vocabulary) if bad and good else {}
     if not scores:
         rate = min(max(bad / max(bad + good, 1), 1e-6), 1 - 1e-6)
         return Model(weights=(float(np.log(rate / (1 - rate))), 0.0))
@@ -229,11 +250,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary:
             found, seen = passages(words, line)
             cells[0].append(len(words))
             cells[1].append([s for *_, s in found])
-            cells[2].append(np.histogram(np.clip(seen, -9.99, 9.99), _BINS)[0].tolist())
+            cells[2].append(np.histogram(np.clip(seen, -9.99, 9.99), _BINS)[0].astype(np.int32))
         kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int32())]
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], ["n", "tops", "bins"])
 
-    seen = rows.select("label", scan(F.col("text")).alias("v")).select("label", "v.*").toArrow()
+    seen = rows.select("label", scan(F.col("text")).alias("v")).select("label", "v.*").limit(sample).toArrow()
     label, n = seen["label"].to_numpy(), seen["n"].to_numpy()
     found = [[(0, 0, s) for s in x] for x in seen["tops"].to_pylist()]
     clean = label == 0
