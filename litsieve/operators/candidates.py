@@ -30,11 +30,10 @@ MICE = r"(?i)\bmice\b"
 def candidate_search(corpus: DataFrame, journals: DataFrame, date_from: str, date_to: str,
                      texts: Iterable[str] = ("title", "abstract", "text"),
                      mice_only: bool = True) -> DataFrame:
-    """Open-access articles of the listed journals in a date range that mention mice."""
+    """Open-access articles of the listed journals that mention mice, both days included."""
     found = corpus.filter(
-        F.col("creation_date").between(
-            F.to_timestamp(F.lit(date_from)), F.to_timestamp(F.lit(date_to))
-        )
+        (F.col("creation_date") >= F.to_timestamp(F.lit(date_from)))
+        & (F.col("creation_date") < F.date_add(F.to_date(F.lit(date_to)), 1).cast("timestamp"))
         & F.col("open_access")
     )
     if mice_only:

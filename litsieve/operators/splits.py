@@ -12,20 +12,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from litsieve.functions.clean import normalise_journal
 
-_BUCKETS = 1_000_000
-
 # (key column, seed) -> uniform number in [0, 1)
 Draw = Callable[[Column, int], Column]
 
 
 def hash_draw(key: Column, seed: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_BUCKETS)) / F.lit(float(_BUCKETS))
-
-
-def arithmetic_draw(key: Column, seed: int) -> Column:
-    """For integer keys, with arithmetic any SQL engine can repeat."""
-    mixed = F.pmod(key.cast("long"), F.lit(1_000_003)) * 2_654_435 + seed * 40_503
-    return F.pmod(mixed, F.lit(1_000)) / F.lit(1_000.0)
+    """The first 32 bits of a digest of seed and key, which any SQL engine can repeat."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
 
 
 def with_monitored(df: DataFrame, journals: DataFrame, journal: str = "journal") -> DataFrame:

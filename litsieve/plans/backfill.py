@@ -14,7 +14,7 @@ from litsieve.sources.archive import write_by_journal
 @dataclass(frozen=True)
 class Backfill:
     outcomes: DataFrame  # every article found, with its outcome
-    wanted: DataFrame    # the ones to keep that have text
+    wanted: DataFrame    # the ones to keep, with or without a body
     main_files: DataFrame
     report: DataFrame
     examples: DataFrame
@@ -34,7 +34,7 @@ def backfill(articles: DataFrame, known: DataFrame, files: DataFrame,
     outcomes = judged.join(with_pdf, "pmcid", "left").withColumn(
         "has_pdf", F.coalesce("has_pdf", F.lit(False))
     )
-    wanted = outcomes.filter((F.col("outcome") == candidates.WANTED) & F.col("has_body"))
+    wanted = outcomes.filter(F.col("outcome") == candidates.WANTED)
     return Backfill(
         outcomes=outcomes,
         wanted=wanted,

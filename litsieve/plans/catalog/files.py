@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from litsieve.plans.catalog.registry import query
 from litsieve.plans.catalog.views import Inputs
@@ -74,18 +74,27 @@ def _(x: Inputs):
 
 
 @query("id_map", """
-    SELECT r.o_orderkey AS article, CAST(r.o_custkey AS STRING) AS pmid, m.pmcid FROM orders r
-      JOIN (SELECT CAST(c_custkey AS STRING) AS pmid, concat('PMC', CAST(c_custkey * 3 AS STRING)) AS pmcid
-            FROM customer) m ON CAST(r.o_custkey AS STRING) = m.pmid""")
+    SELECT o_orderkey AS article, CAST(o_custkey AS STRING) AS pmid,
+      concat(CASE WHEN o_custkey % 2 = 0 THEN 'PMC10' ELSE 'PMC9' END, CAST(o_custkey AS STRING)) AS pmcid
+    FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)""")
 def _(x: Inputs):
-    index = x.table("customer").select(
-        F.concat(F.lit("oa/f.tar.gz\tcitation\tPMC"), (F.col("c_custkey") * 3).cast("string"),
-                 F.lit("\tPMID:"), F.col("c_custkey").cast("string"), F.lit("\tCC BY")).alias("value")
-    )
+    """Even IDs have a second, later line: PMC10 after PMC9."""
+    custkey = F.col("c_custkey").cast("string")
+
+    def line(number: str, at: int) -> Column:
+        value = F.concat(
+            F.lit(f"oa/f.tar.gz\tcitation\t{number}"), custkey, F.lit("\tPMID:"), custkey, F.lit("\tCC BY")
+        )
+        return F.struct((F.col("c_custkey") + at).alias("line"), value.alias("value"))
+
+    first, last = line("PMC9", 0), line("PMC10", 1_000_000_000)
+    both = F.when(F.col("c_custkey") % 2 == 0, F.array(last, first)).otherwise(F.array(first))
+    index = x.table("customer").select(F.inline(both))
+    dated = x.spark.createDataFrame([(0, "2017-04-01 21:19:07")], "line long, value string")
     articles = x.table("orders").select(
         F.col("o_orderkey").alias("article"), F.col("o_custkey").cast("string").alias("pmid")
     )
-    return lists.map_ids(articles, lists.parse_archive_index(index))
+    return lists.map_ids(articles, lists.parse_archive_index(index.union(dated)))
 
 
 # Pages as article elements: an article's markup behind a made-up front part.

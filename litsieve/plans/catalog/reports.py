@@ -155,7 +155,7 @@ def _(x: Inputs):
 
 
 def _draw(key: str, seed: int) -> str:
-    return f"((({key} % 1000003) * 2654435 + {seed * 40503}) % 1000) / 1000.0"
+    return f"(('0x' || substr(md5(concat('{seed}:', {key})), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
 
 
 _LABELLED = "SELECT refs_key, journal, isdiscard, createdby_key, creation_date FROM refs"
@@ -165,7 +165,7 @@ _LABELLED = "SELECT refs_key, journal, isdiscard, createdby_key, creation_date F
     SELECT refs_key, {_draw('refs_key', 7)} < 0.2 AS retained FROM refs""")
 def _(x: Inputs):
     return splits.split_random(
-        x.view("refs").select("refs_key"), "refs_key", 0.2, 7, draw=splits.arithmetic_draw
+        x.view("refs").select("refs_key"), "refs_key", 0.2, 7
     )
 
 
@@ -175,7 +175,7 @@ def _(x: Inputs):
 def _(x: Inputs):
     docs = x.table("documents").select("doc_id", F.col("source").alias("journal"))
     return splits.split_random(
-        docs, "doc_id", 0.5, 7, x.view("monitored"), draw=splits.arithmetic_draw
+        docs, "doc_id", 0.5, 7, x.view("monitored")
     ).select("doc_id", "retained")
 
 
@@ -187,7 +187,7 @@ _THREE = f"""CASE WHEN {_AFTER} AND {_draw('refs_key', 3)} < 0.15 THEN 'test'
 def _three_way(x: Inputs) -> DataFrame:
     after = F.col("creation_date") > F.to_timestamp(F.lit("1998-10-31"))
     return splits.split_three_way(
-        x.view("refs"), "refs_key", after, seed=3, draw=splits.arithmetic_draw
+        x.view("refs"), "refs_key", after, seed=3
     )
 
 
@@ -214,7 +214,7 @@ def _(x: Inputs):
           FROM (SELECT *, {_draw('refs_key', 7)} < 0.2 AS retained FROM refs) x
           GROUP BY GROUPING SETS ((), (retained))) y""")
 def _(x: Inputs):
-    split = splits.split_random(x.view("refs"), "refs_key", 0.2, 7, draw=splits.arithmetic_draw)
+    split = splits.split_random(x.view("refs"), "refs_key", 0.2, 7)
     summary = splits.split_summary(split, F.col("isdiscard") == 0)
     return _round(summary, "pos_pct", "neg_pct", "input_pct")
 
@@ -233,8 +233,7 @@ def _(x: Inputs):
     )
     refs = x.view("refs").select("refs_key", subset.alias("subset"))
     return splits.small_build(
-        refs, "refs_key", "subset", {"discard_after": 160, "keep_after": 80}, seed=1,
-        draw=splits.arithmetic_draw,
+        refs, "refs_key", "subset", {"discard_after": 160, "keep_after": 80}, seed=1
     )
 
 

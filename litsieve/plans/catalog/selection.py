@@ -307,17 +307,17 @@ def _(x: Inputs):
 
 @query("candidate_search", r"""
     SELECT r.refs_key, r.journal, strftime(r.creation_date, '%m/%d/%Y') AS creation_date
-    FROM refs r JOIN assembled e ON r.refs_key = e.refs_key
+    FROM refs r LEFT JOIN assembled e ON r.refs_key = e.refs_key
     WHERE r.journal IN (SELECT concat('J ', c_mktsegment) FROM customer WHERE c_mktsegment <> 'BUILDING')
-      AND r.creation_date BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-12-31' AND r.isreview = 0
-      AND regexp_matches(concat(replace(r.title, '7 |', ' Mice |'), ' ', e.ext_text), '(?i)\bmice\b')""",
+      AND r.creation_date >= TIMESTAMP '1996-01-01' AND r.creation_date < TIMESTAMP '2000-01-01' AND r.isreview = 0
+      AND regexp_matches(concat_ws(' | ', replace(r.title, '7 |', ' Mice |'), r.abstract, e.ext_text), '(?i)\bmice\b')""",
        {"assembled": _ASSEMBLED})
 def _(x: Inputs):
     corpus = texts.join_text(x.view("refs"), texts.assemble_text(x.view("parts"))).select(
         "refs_key", "journal", "creation_date", (F.col("isreview") == 0).alias("open_access"),
         F.replace("title", F.lit("7 |"), F.lit(" Mice |")).alias("title"), "abstract",
         F.col("ext_text").alias("text"),
-    ).filter(F.col("text") != "")
+    )
     journals = x.table("customer").filter("c_mktsegment <> 'BUILDING'").select(
         F.concat(F.lit("J "), "c_mktsegment").alias("journal")
     )

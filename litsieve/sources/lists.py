@@ -31,31 +31,48 @@ def write_known_ids(df: DataFrame, path: str, mode: str = "errorifexists") -> No
     )
 
 
-def parse_archive_index(lines: DataFrame, value: str = "value") -> DataFrame:
-    """PMID -> PMCID from index lines (file, citation, PMCID, ``PMID:n``, ...).
+_DATE_LINE = r"^\s*\d{4}-\d{2}-\d{2}[\d\s:.]*$"
 
-    The leading date line has no tabs and drops out with other short lines.
+
+def parse_archive_index(lines: DataFrame, value: str = "value", line: str = "line",
+                        quarantine: bool = False) -> DataFrame:
+    """(line, pmid, pmcid) from index lines (file, citation, PMCID, ``PMID:n``, ...).
+
+    ``line`` orders the lines. The date line at the top drops out; any other line with
+    too few fields fails the job, or keeps its text in ``malformed``.
     """
-    part = F.split(F.col(value), "\t", -1)
-    return (
-        lines.select(part.alias("p"))
-        .filter(F.size("p") > 3)
-        .select(
-            F.substring(strip(F.col("p")[3]), 6, 1 << 20).alias("pmid"),
-            strip(F.col("p")[2]).alias("pmcid"),
-        )
+    rows = lines.filter(~F.col(value).rlike(_DATE_LINE)).select(
+        F.col(line).alias("line"), F.col(value).alias("value"),
+        F.split(F.col(value), "\t", -1).alias("p"),
     )
+    short = F.size("p") < 4
+    if not quarantine:
+        error = F.raise_error(F.concat(F.lit("short index line: "), "value"))
+        rows = rows.withColumn("p", F.when(short, error.cast("array<string>")).otherwise(F.col("p")))
+    pmid, pmcid = F.get("p", F.lit(3)), F.get("p", F.lit(2))
+    rows = rows.select(
+        "line", F.when(~short, F.substr(strip(pmid), F.lit(6))).alias("pmid"),
+        F.when(~short, strip(pmcid)).alias("pmcid"), F.when(short, F.col("value")).alias("malformed"),
+    )
+    return rows if quarantine else rows.drop("malformed")
 
 
-def read_archive_index(spark: SparkSession, path: str) -> DataFrame:
-    return parse_archive_index(spark.read.text(path))
+def read_archive_index(spark: SparkSession, path: str, quarantine: bool = False) -> DataFrame:
+    """The index with its lines in file order."""
+    place = F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id().alias("n"),
+    )
+    lines = spark.read.text(path).select("value", place.alias("line"))
+    return parse_archive_index(lines, quarantine=quarantine)
 
 
 def map_ids(df: DataFrame, id_map: DataFrame, pmid: str = "pmid",
             quarantine: bool = False) -> DataFrame:
     """Add the PMCID of every row; an unmapped PMID fails the job or stays NULL."""
-    # of several index lines for one PMID the last one (by PMCID) counts
-    unique = id_map.groupBy(F.col("pmid").alias("_pmid")).agg(F.max("pmcid").alias("pmcid"))
+    # of several index lines for one PMID the last one counts
+    known = id_map.filter(F.col("pmid").isNotNull())
+    unique = known.groupBy(F.col("pmid").alias("_pmid")).agg(F.max_by("pmcid", "line").alias("pmcid"))
     joined = df.join(unique, F.col(pmid) == F.col("_pmid"), "left").drop("_pmid")
     if quarantine:
         return joined

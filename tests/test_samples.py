@@ -190,7 +190,7 @@ def test_id_lists(spark, tmp_path):
     assert [r.pubmed for r in lists.read_known_ids(spark, str(tmp_path / "ids.tsv")).collect()] == ["1", "2"]
     write(tmp_path / "oa.txt", "2019-01-01 10:00:00\noa/a.tar.gz\tJ 2010\tPMC11\tPMID:1\tCC\n")
     id_map = lists.read_archive_index(spark, str(tmp_path / "oa.txt"))
-    assert [tuple(r) for r in id_map.collect()] == [("1", "PMC11")]
+    assert [(r.pmid, r.pmcid) for r in id_map.collect()] == [("1", "PMC11")]
     df = spark.createDataFrame([("1",), ("2",)], "pmid string")
     assert lists.map_ids(df, id_map, quarantine=True).filter("pmcid IS NULL").count() == 1
     with pytest.raises(PySparkException):
