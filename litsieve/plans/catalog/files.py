@@ -97,46 +97,45 @@ def _(x: Inputs):
     return lists.map_ids(articles, lists.parse_archive_index(index.union(dated)))
 
 
-# Pages as article elements: an article's markup behind a made-up front part.
-_MARKUP = """concat('<article article-type="type', CAST(page_id % 4 AS STRING),
-    '"><front><article-meta><article-id pub-id-type="pmc">', CAST(page_id AS STRING), '</article-id>',
+# Pages as article elements: either kind of quote, comments, character references, CDATA
+# and sub-articles around a page's markup as text. Every seventh element is not closed.
+_MARKUP = """concat('<article', CASE page_id % 4 WHEN 0 THEN ' article-type="type0"'
+      WHEN 1 THEN concat(' article-type=', chr(39), 'type1', chr(39))
+      WHEN 2 THEN ' id="x" article-type = "type2"' ELSE '' END,
+    '><!-- <body>no</body> --><front><article-meta><article-id pub-id-type="pmc">', CAST(page_id AS STRING), '</article-id>',
     CASE WHEN page_id % 3 = 0 THEN '' ELSE concat('<article-id pub-id-type="pmid">',
-      CAST(page_id * 2 AS STRING), '</article-id>') END,
-    '</article-meta></front>', CASE WHEN page_id % 5 = 0 THEN '' ELSE concat('<body>', html, '</body>') END, '</article>')"""
-
-_STRIPPED = r"regexp_replace(markup, '(?s)<!--.*?-->|<!\[CDATA\[|\]\]>|</?[A-Za-z][^>]*>|<[!?][^>]*>', '', 'g')"
-for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"),
-                       ("&#38;", "&"), ("&amp;", "&")):
-    _STRIPPED = f"replace({_STRIPPED}, '{_entity}', '{_char}')"
-_STRIPPED = rf"regexp_replace({_STRIPPED}, '&#(?:x[0-9A-Fa-f]+|[0-9]+);', ' ', 'g')"
-
-
-@query("pages_parse", rf"""
-    SELECT page_id, nullif(regexp_extract(markup, '<article\b[^>]*article-type="([^"]*)"', 1), '') AS type,
-      nullif(regexp_extract(markup, '<article-id[^>]*pub-id-type="pmc"[^>]*>([^<]*)<', 1), '') AS pmcid,
-      nullif(regexp_extract(markup, '<article-id[^>]*pub-id-type="pmid"[^>]*>([^<]*)<', 1), '') AS pmid,
-      regexp_matches(markup, '<body[\s>/]') AS has_body,
-      regexp_replace({_STRIPPED}, '[^\x00-\x7F]', ' ', 'g') AS text
-    FROM (SELECT page_id, {_MARKUP} AS markup FROM pages) x""")
+      CAST(page_id * 2 AS STRING), '</article-id>') END, '</article-meta></front>',
+    CASE WHEN page_id % 5 = 0 THEN '' ELSE concat('<body><p>', replace(replace(html, '&', '&amp;'), '<', '&lt;'),
+      '</p><![CDATA[ a < b & c ]]>&#65;&#x3C;&amp;#945;</body>') END,
+    '<sub-article><front><article-meta><article-id pub-id-type="pmid">999</article-id></article-meta></front>',
+    CASE WHEN page_id % 7 = 6 THEN '' ELSE '</sub-article>' END, '</article>')"""
+
+# what these elements hold, from how they were put together
+_FIELDS = r"""
+    CASE WHEN fine AND page_id % 4 < 3 THEN concat('type', CAST(page_id % 4 AS STRING)) END AS type,
+    CASE WHEN fine THEN CAST(page_id AS STRING) END AS pmcid,
+    CASE WHEN fine AND page_id % 3 <> 0 THEN CAST(page_id * 2 AS STRING) END AS pmid,
+    CASE WHEN fine THEN page_id % 5 <> 0 END AS has_body,
+    CASE WHEN fine THEN regexp_replace(concat(CAST(page_id AS STRING),
+      CASE WHEN page_id % 3 <> 0 THEN CAST(page_id * 2 AS STRING) ELSE '' END,
+      CASE WHEN page_id % 5 <> 0 THEN concat(html, ' a < b & c A<&#945;') ELSE '' END, '999'),
+      '[^\x00-\x7F]', ' ', 'g') END AS text"""
+_ELEMENTS = f"(SELECT page_id, html, page_id % 7 <> 6 AS fine, {_MARKUP} AS markup FROM pages) x"
+
+
+@query("pages_parse", f"""
+    SELECT page_id, CASE WHEN NOT fine THEN markup END AS malformed, {_FIELDS} FROM {_ELEMENTS}""")
 def _(x: Inputs):
     pages = x.table("pages").select("page_id", F.expr(_MARKUP).alias("markup"))
     return archive.article_fields(pages, "markup").drop("markup")
 
 
-@query("article_files", rf"""
-    SELECT type, pmcid, pmid, has_body, text FROM (
-    SELECT nullif(regexp_extract(markup, '<article\b[^>]*article-type="([^"]*)"', 1), '') AS type,
-      CAST(page_id AS VARCHAR) AS pmcid,
-      CASE WHEN page_id % 3 <> 0 THEN CAST(page_id * 2 AS VARCHAR) END AS pmid,
-      page_id % 5 <> 0 AS has_body,
-      regexp_replace({_STRIPPED}, '[^\x00-\x7F]', ' ', 'g') AS text
-    FROM (SELECT page_id, replace({_MARKUP.replace("html", "replace(html, 'article>', 'section>')")}, chr(13), ' ') AS markup
-          FROM pages) x) y""")
+@query("article_files", f"""
+    SELECT CASE WHEN NOT fine THEN markup END AS malformed, {_FIELDS} FROM {_ELEMENTS}""")
 def _(x: Inputs):
     """The same elements written to files and read back element by element."""
     path = scratch_path(x.spark, "articles")
-    markup = F.expr(_MARKUP.replace("html", "replace(html, 'article>', 'section>')"))
-    x.table("pages").select(F.replace(markup, F.lit("\r"), F.lit(" ")).alias("value")).write.text(path)
+    x.table("pages").select(F.expr(_MARKUP).alias("value")).write.text(path)
     return archive.read_articles(x.spark, path)
 
 

@@ -7,51 +7,44 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from litsieve.functions.clean import ANY_SPACE, scrub_non_ascii, underscore_spaces
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """(type, pmcid, pmid, has_body, text) of every ``<article>`` element.
+    """(type, pmcid, pmid, has_body, text, malformed) of every ``<article>`` element.
 
     The files are cut at the element's end tag, so a large file is read by many
-    tasks and the whole element is at hand: its text is all character data in
-    document order, which the nested XML reader would not give.
+    tasks and the whole element is at hand.
     """
     start = F.regexp_instr("value", F.lit(r"<article[\s>]"))
     elements = (
         spark.read.option("lineSep", "</article>").text(path)
         .filter(start > 0)
-        .select(F.col("value").substr(start, F.length("value")).alias("value"))
+        .select(F.concat(F.col("value").substr(start, F.length("value")), F.lit("</article>")).alias("value"))
     )
     return article_fields(elements, "value").drop("value")
 
 
-def element_text(markup: Column) -> Column:
-    """Character data of a piece of markup: comments and tags out, entities decoded."""
-    text = F.regexp_replace(
-        markup, r"(?s)<!--.*?-->|<!\[CDATA\[|\]\]>|</?[A-Za-z][^>]*>|<[!?][^>]*>", ""
-    )
-    # The predefined entities; & last, so that &amp;lt; stays &lt;
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-                         ("&#39;", "'"), ("&#38;", "&"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    # other numeric references stand for special characters, which become blanks
-    return F.regexp_replace(text, r"&#(?:x[0-9A-Fa-f]+|[0-9]+);", " ")
+def article_fields(df: DataFrame, markup: str) -> DataFrame:
+    """Article fields of the elements in a column, by path.
 
+    The text is all character data in document order. The IDs and the body are those of
+    the article itself, not of a sub-article. Markup that is no well-formed element has no
+    fields and is kept in ``malformed``.
+    """
+    options = {"rowTag": "article", "columnNameOfCorruptRecord": "bad"}
+    bad = F.from_xml(F.col(markup), "bad string", options)["bad"].isNotNull()
+    meta = "/article/front/article-meta/article-id[@pub-id-type='{}']"
+    df = df.withColumn("malformed", F.when(bad, F.col(markup)))
+    # the paths raise an error on what is malformed, so they never see it
+    fine = F.when(F.col("malformed").isNull(), F.col(markup))
 
-def article_fields(df: DataFrame, markup: str) -> DataFrame:
-    """Article fields by pattern, for article markup already held in a column."""
-    def attr_id(kind: str) -> Column:
-        return F.nullif(
-            F.regexp_extract(F.col(markup), rf'<article-id[^>]*pub-id-type="{kind}"[^>]*>([^<]*)<', 1),
-            F.lit(""),
-        )
+    def found(path: str) -> Column:
+        return F.nullif(F.xpath_string(fine, F.lit(path)), F.lit(""))
 
     return df.withColumns(
         {
-            "type": F.nullif(
-                F.regexp_extract(F.col(markup), r'<article\b[^>]*article-type="([^"]*)"', 1), F.lit("")
-            ),
-            "pmcid": attr_id("pmc"),
-            "pmid": attr_id("pmid"),
-            "has_body": F.col(markup).rlike(r"<body[\s>/]"),
-            "text": scrub_non_ascii(element_text(F.col(markup))),
+            "type": found("/article/@article-type"),
+            "pmcid": found(meta.format("pmc")),
+            "pmid": found(meta.format("pmid")),
+            "has_body": F.xpath_boolean(fine, F.lit("/article/body")),
+            "text": scrub_non_ascii(F.xpath_string(fine, F.lit("/article"))),
         }
     )
 
