@@ -96,9 +96,12 @@ def outcome_report(outcomes: DataFrame) -> DataFrame:
     return counts.withColumn("matching", F.col("found") - lost)
 
 
-def outcome_examples(outcomes: DataFrame, article_id: str = "pmcid", n: int = 6) -> DataFrame:
+def outcome_examples(outcomes: DataFrame, article_id: str = "pmcid", n: int = 6,
+                     pmid: str = "pmid") -> DataFrame:
     """(journal, outcome, type, num, examples): the first n IDs of every kind of loss.
 
+    Known articles and those without a PDF or body are listed by PMID, others by archive ID.
+
     The rank bound is applied before the shuffle as well, so a journal that
     holds most articles still sends only n rows per task to be ranked.
     """
@@ -111,8 +114,12 @@ def outcome_examples(outcomes: DataFrame, article_id: str = "pmcid", n: int = 6)
         )
     )
     lost = outcomes.select(
-        "journal", F.explode(reasons).alias("outcome"), kind.alias("type"),
-        F.col(article_id).alias("id"),
+        "journal", F.explode(reasons).alias("outcome"), kind.alias("type"), article_id, pmid
+    )
+    by_pmid = F.col("outcome").isin(IN_DB, "no_pdf", "no_body")
+    lost = lost.select(
+        "journal", "outcome", "type",
+        F.when(by_pmid, F.col(pmid)).otherwise(F.col(article_id)).alias("id"),
     )
     keys = ["journal", "outcome", "type"]
     counts = lost.groupBy(*keys).agg(F.count("*").alias("num"))
@@ -204,16 +211,15 @@ def main_file_log(files: DataFrame, archive: str = "archive_id") -> DataFrame:
     seen = (F.col("pos") != F.col("chosen_pos")) & (
         ~by_name | (F.col("pos") < F.col("chosen_pos"))
     )
-    # An inner join, so that a huge archive can be split; archives with nothing
-    # to list are known from the aggregate and added.
-    others = files.select(archive, "pos", "path").join(picked, archive).filter(seen).select(
-        archive, "reason", "chosen", F.col("pos").alias("other_pos"),
-        base_name(F.col("path")).alias("other"),
-    )
+    # An archive with nothing to list shows its first file's row, without a name.
     alone = F.col("chosen").isNull() | F.when(
         by_name, F.col("first_pos") == F.col("chosen_pos")
     ).otherwise(F.col("n_files") == 1)
-    rest = picked.filter(alone).select(
-        archive, "reason", "chosen", F.lit(None).alias("other_pos"), F.lit(None).alias("other")
+    first = alone & (F.col("pos") == F.col("first_pos"))
+    # An inner join, so that a huge archive can be split.
+    rows = files.select(archive, "pos", "path").join(picked, archive)
+    listed = F.coalesce(seen & ~alone, F.lit(False))
+    return rows.filter(listed | first).select(
+        archive, "reason", "chosen", F.when(listed, F.col("pos")).alias("other_pos"),
+        F.when(listed, base_name(F.col("path"))).alias("other"),
     )
-    return others.unionByName(rest)

@@ -2,8 +2,9 @@
 
 A term is kept only if at least a share ``min_df`` of the documents hold it, so
 a vocabulary has at most (mean distinct terms per document) / min_df entries,
-however many documents there are. That bound is what allows the frequent words
-and the vocabulary to be broadcast; below ``_SMALL_SHARE`` they are not.
+however many documents there are. How it is joined is left to its measured size.
+Texts are cut into words once: the words are stored in the shared folder, and
+every later step reads them from there.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_SMALL_SHARE = 0.005
+from litsieve.session import materialise
+
 
 # Two or more word characters. Fixed value.
 FEATURE_TOKEN = r"\b\w\w+\b"
@@ -72,17 +74,15 @@ def with_terms(df: DataFrame) -> DataFrame:
     return df.withColumn("terms", F.concat("words", bigrams(F.col("words"))))
 
 
-def _lookup(df: DataFrame, min_df: float) -> DataFrame:
-    return F.broadcast(df) if min_df >= _SMALL_SHARE else df
-
-
-def vocabulary(df: DataFrame, min_df: float = 0.02, max_df: float = 0.75) -> DataFrame:
+def vocabulary(df: DataFrame, min_df: float = 0.02, max_df: float = 0.75,
+               stored: bool = False) -> DataFrame:
     """(term, df) of the words and pairs within the document-frequency bounds.
 
     A pair cannot be more frequent than either of its words, so pairs of a rare
     word are dropped where they are made: almost all distinct pairs never reach
-    the shuffle.
+    the shuffle. ``stored`` says that ``df`` is cheap to read again.
     """
+    df = df.select("words") if stored else materialise(df.select("words"), "words")
     documents = df.agg(F.count("*")).scalar()
     least, most = F.lit(min_df) * documents, F.lit(max_df) * documents
 
@@ -93,7 +93,7 @@ def vocabulary(df: DataFrame, min_df: float = 0.02, max_df: float = 0.75) -> Dat
         .groupBy("term").agg(F.count("*").alias("df"))
         .filter(F.col("df") >= least)
     )
-    frequent = _lookup(words.select("term"), min_df)
+    frequent = words.select("term")
     # distinct pairs per document, as (first, second)
     pairs = df.select(F.explode(F.array_distinct(bigrams(F.col("words")))).alias("pair")).select(
         F.substring_index("pair", " ", 1).alias("first"),
@@ -112,8 +112,9 @@ def vocabulary(df: DataFrame, min_df: float = 0.02, max_df: float = 0.75) -> Dat
 def term_vectors(df: DataFrame, *keep: str, min_df: float = 0.02,
                  max_df: float = 0.75) -> DataFrame:
     """Binary document vectors in long form: (kept columns, term)."""
+    df = materialise(df.select(*keep, "words"), "words")
     rows = with_terms(df).select(*keep, F.explode(F.array_distinct("terms")).alias("term"))
-    vocab = _lookup(vocabulary(df, min_df, max_df).select("term"), min_df)
+    vocab = vocabulary(df, min_df, max_df, stored=True).select("term")
     return rows.join(vocab, "term", "left_semi").select(*keep, "term")
 
 
@@ -147,7 +148,8 @@ class TermVectorizer(Estimator):
 
     def _fit(self, dataset: DataFrame) -> CountVectorizerModel:
         limit = self.getOrDefault("limit")
-        vocab = vocabulary(dataset, self.getOrDefault("minDF"), self.getOrDefault("maxDF"))
+        bounds = self.getOrDefault("minDF"), self.getOrDefault("maxDF")
+        vocab = vocabulary(dataset, *bounds, stored=True)
         rows = vocab.select("term").orderBy("term").take(limit + 1)
         if not 0 < len(rows) <= limit:
             raise ValueError(f"vocabulary is empty or exceeds {limit} terms; change minDF")

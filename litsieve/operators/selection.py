@@ -57,13 +57,14 @@ def _with_status(refs: DataFrame, t: Tables) -> DataFrame:
     return refs.join(t.status.withColumn("has_status", F.lit(True)), "refs_key", "left")
 
 
-def _with_omit_flag(articles: DataFrame, t: Tables, rules: Rules) -> DataFrame:
+def _with_omit_flag(articles: DataFrame, t: Tables, rules: Rules, check_id: bool = True) -> DataFrame:
     """Add ``omitted``: the label is doubtful.
 
     Either indexed for GO by a loader or created by the GOA load, from the start
     date on, with no other group selecting it; or discarded with the tag for
     "mice in references only", whatever its date. Only articles with a status,
-    a current workflow row and an ID can be omitted.
+    a current workflow row and an ID can be omitted; without ``check_id`` the caller
+    joins the IDs anyway.
     """
     current = (
         t.wf_status.filter(F.col("iscurrent") == 1)
@@ -80,9 +81,11 @@ def _with_omit_flag(articles: DataFrame, t: Tables, rules: Rules) -> DataFrame:
         t.tags.filter(F.col("tag_key") == F.lit(rules.refs_only_tag))
         .select("refs_key").distinct().withColumn("tagged", F.lit(True))
     )
-    identified = (
-        article_ids(t, rules).select("refs_key").distinct().withColumn("identified", F.lit(True))
-    )
+    if check_id:
+        ids = article_ids(t, rules).select("refs_key").distinct()
+        articles = articles.join(ids.withColumn("identified", F.lit(True)), "refs_key", "left")
+    else:
+        articles = articles.withColumn("identified", F.lit(True))
 
     loaded = F.col("loader_indexed") | (F.col("createdby_key") == F.lit(rules.goa_creator))
     others_unselected = F.lit(True)
@@ -95,7 +98,6 @@ def _with_omit_flag(articles: DataFrame, t: Tables, rules: Rules) -> DataFrame:
     return (
         articles.join(current, "refs_key", "left")
         .join(tagged, "refs_key", "left")
-        .join(identified, "refs_key", "left")
         .withColumn("omitted", F.coalesce(eligible & doubtful, F.lit(False)))
         .drop("loader_indexed", "tagged", "identified")
     )
@@ -105,7 +107,7 @@ def omit_set(t: Tables, rules: Rules) -> DataFrame:
     """Articles left out of training sets, as distinct (refs_key, pubmed)."""
     refs = t.refs.select("refs_key", "createdby_key", "creation_date", "isdiscard")
     return (
-        _with_omit_flag(_with_status(refs, t), t, rules)
+        _with_omit_flag(_with_status(refs, t), t, rules, check_id=False)
         .filter("omitted")
         .select("refs_key")
         .join(article_ids(t, rules), "refs_key")

@@ -285,11 +285,12 @@ def _(x: Inputs):
 
 @query("outcome_examples", """
     SELECT journal, outcome, type, num, array_to_string(ids[1:6], ', ') AS examples FROM
-    (SELECT journal, outcome, type, count(*) AS num, list(CAST(pmcid AS VARCHAR) ORDER BY pmcid) AS ids FROM
-      (SELECT journal, outcome, CASE WHEN outcome IN ('skipped_type', 'new_type') THEN type END AS type, pmcid
+    (SELECT journal, outcome, type, count(*) AS num, list(CAST(id AS VARCHAR) ORDER BY id) AS ids FROM
+      (SELECT journal, outcome, CASE WHEN outcome IN ('skipped_type', 'new_type') THEN type END AS type,
+         CASE WHEN outcome = 'in_db' THEN pmid ELSE pmcid END AS id
        FROM outcomes WHERE outcome <> 'wanted'
-       UNION ALL SELECT journal, 'no_pdf', NULL, pmcid FROM outcomes WHERE outcome = 'wanted' AND NOT has_pdf
-       UNION ALL SELECT journal, 'no_body', NULL, pmcid FROM outcomes WHERE outcome = 'wanted' AND NOT has_body) l
+       UNION ALL SELECT journal, 'no_pdf', NULL, pmid FROM outcomes WHERE outcome = 'wanted' AND NOT has_pdf
+       UNION ALL SELECT journal, 'no_body', NULL, pmid FROM outcomes WHERE outcome = 'wanted' AND NOT has_body) l
      GROUP BY journal, outcome, type) g""", OUTCOME_CTE)
 def _(x: Inputs):
     return candidates.outcome_examples(outcomes(x))

@@ -60,10 +60,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Enough tasks for a CPU-bound step over a scan that has too few.
+    """Enough tasks for a CPU-bound step over one small file.
 
-    A large table already splits into more tasks than cores and is left alone;
-    only a small file, often a single row group, is dealt out by its key.
+    A single file, often of one row group, may have fewer tasks than there are cores; it
+    is dealt out by its key. A table of several files is never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, *keys)
+    if len(df.inputFiles()) > 1 or df.rdd.getNumPartitions() > cores:
+        return df
+    return df.repartition(cores, *keys)
