@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from litsieve import session
 from litsieve.llm import common
 
 WEIGHTS = (5, 2, 1)
@@ -89,6 +90,7 @@ def drawn(docs: DataFrame, share: float = SHARE, most: float = MOST) -> DataFram
     buckets = rows.groupBy("source", "nameless", "bucket").agg(
         F.count("*").alias("n"), F.sum("size").alias("bucket_size")
     )
+    buckets = session.materialise(buckets, "buckets")  # read three times; bounded per source
     sizes = buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
     goals = targets(sizes, share, most).withColumn("rate", F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)))
     goals = goals.withColumn("offset", _offset(F.col("source")))
