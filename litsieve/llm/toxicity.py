@@ -4,9 +4,10 @@ Every token has a log-odds of toxic against other documents under an informative
 prior, shrunk by its uncertainty, less a drift that makes ordinary text score below zero;
 beginnings of words are counted like words and speak for words that are rare or new.
 A linear scan finds all maximal-scoring segments of a text. Their scores are calibrated by
-the extreme-value law of such maxima: with the decay solved from the token scores of clean
-documents and the scale fitted to their maxima, the number of segments of that score or
-more expected by chance follows from the score and the text's length. A document's
+extreme-value theory: how many segments of a score or more a token of clean text starts is
+counted over the clean documents of the sample, and beyond the greatest of these it falls
+off exponentially, at the rate that the token scores of clean documents imply. So the
+number expected by chance follows from the score and the text's length. A document's
 evidence is how improbable its best r segments are together, at the r where that is
 greatest; logistic regression turns it into a probability.
 
@@ -41,7 +42,7 @@ VOCABULARY = 1 << 16
 #: Strength of the prior, in documents.
 PRIOR = 20.0
 #: Deviations by which a log-odds is shrunk towards zero.
-SHRINK = 2.0
+SHRINK = 3.0
 #: What an ordinary token costs.
 DRIFT = 0.5
 #: Passages are significant if as many as good are this improbable by chance.
@@ -118,12 +119,18 @@ class Model:
     scores: dict[int, float] = field(default_factory=dict)
     drift: float = DRIFT
     decay: float = 1.0
-    scale: float = 1.0
+    tops: np.ndarray = field(default_factory=lambda: np.zeros(1))  # scores, rising
+    rates: np.ndarray = field(default_factory=lambda: np.ones(1))  # clean segments a token as good
     weights: tuple[float, float] = (0.0, 0.0)
 
     def line(self) -> _Line:
         return _Line(self.scores, self.drift)
 
+    def by_chance(self, scores: np.ndarray) -> np.ndarray:
+        """Segments as good that a token of clean text starts."""
+        at = np.minimum(np.searchsorted(self.tops, scores, side="left"), len(self.tops) - 1)
+        return self.rates[at] * np.exp(-self.decay * np.maximum(scores - self.tops[-1], 0.0))
+
     def evidence(self, n: int, found: list[tuple[int, int, float]]) -> tuple[float, list]:
         """Evidence of the segments of a text of n tokens, and those that make it up.
 
@@ -134,7 +141,7 @@ class Model:
             return 0.0, []
         best = sorted(found, key=lambda x: -x[2])
         r = np.arange(1, len(best) + 1)
-        e = np.maximum(self.scale * n * np.exp(-self.decay * np.array([x[2] for x in best])), 1e-300)
+        e = np.maximum(n * self.by_chance(np.array([x[2] for x in best])), 1e-300)
         rare = np.where(r > e, r * np.log(r / e) - r + e, 0.0)
         top = int(rare.argmax())
         value = float(rare[top])
@@ -145,8 +152,17 @@ class Model:
 
 
 def passages(words: list[str], line: _Line) -> tuple[list[tuple[int, int, float]], np.ndarray]:
-    """The maximal segments in tokens, and the token scores."""
+    """The maximal segments in tokens, and the token scores.
+
+    Log-odds are of documents that hold a token, so only its first place in a text counts;
+    a word said over and over is no more evidence than once.
+    """
     scores = np.fromiter((line[w] for w in words), float, len(words))
+    seen: set[str] = set()
+    for i in np.flatnonzero(scores > 0).tolist():
+        if words[i] in seen:
+            scores[i] = -line.drift
+        seen.add(words[i])
     return segments(scores), scores
 
 
@@ -231,12 +247,13 @@ def _odds(rows: DataFrame, bad: int, good: int, vocabulary: int) -> dict[int, fl
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY) -> Model:
     """Fit a model to ``labels.toxic``; what the driver sees is bounded by the parameters."""
     rows = common.labelled_texts(docs, labels, "toxic", sample)
+    rows = session.materialise(rows.withColumn("sign", _sign(F.col("text"))), "toxic")
     # near copies count once, or a copied text would make words of its own look telling
-    rows = rows.groupBy("label", _sign(F.col("text")).alias("sign")).agg(F.min("text").alias("text"))
-    rows = session.materialise(rows.select("label", "text"), "toxic")
-    number = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    single = rows.groupBy("label", "sign").agg(F.min("text").alias("text")).select("label", "text")
+    single = session.materialise(single, "toxic-single")
+    number = {r.label: r["count"] for r in single.groupBy("label").count().collect()}
     bad, good = number.get(1, 0), number.get(0, 0)
-    scores = _odds(rows, bad, good, vocabulary) if bad and good else {}
+    scores = _odds(single, bad, good, vocabulary) if bad and good else {}
     if not scores:
         rate = min(max(bad / max(bad + good, 1), 1e-6), 1 - 1e-6)
         return Model(weights=(float(np.log(rate / (1 - rate))), 0.0))
@@ -260,9 +277,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary:
     clean = label == 0
     mass = np.array(seen["bins"].to_pylist(), float)[clean].sum(axis=0)
     model.decay = _decay((_BINS[:-1] + _BINS[1:]) / 2, mass / max(mass.sum(), 1))
-    tops = np.array([max((s for *_, s in x), default=0.0) for x in found])
-    # the likeliest scale given the maxima of clean texts
-    model.scale = float(clean.sum() / max((n[clean] * np.exp(-model.decay * tops[clean])).sum(), 1e-9))
+    chance = np.sort([s for x, c in zip(found, clean) if c for *_, s in x])
+    if len(chance):
+        model.tops, first = np.unique(chance, return_index=True)
+        model.rates = (len(chance) - first) / max(n[clean].sum(), 1)
+    else:
+        model.rates = np.array([1 / max(n[clean].sum(), 1)])
     evidence = np.array([model.evidence(k, x)[0] for k, x in zip(n, found)])
     order = np.lexsort((evidence, label))  # the same sums in every run
     model.weights = _logistic(np.log1p(evidence[order])[:, None], label[order].astype(float))
