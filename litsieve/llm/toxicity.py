@@ -11,8 +11,10 @@ number expected by chance follows from the score and the text's length. A docume
 evidence is how improbable its best r segments are together, at the r where that is
 greatest; logistic regression turns it into a probability.
 
-The fit uses at most ``SAMPLE`` labelled documents and keeps at most ``VOCABULARY`` tokens,
-those of the greatest weight of evidence, so the model has a bounded size at any input.
+The fit uses at most ``SAMPLE`` labelled documents. For the log-odds, those of one label
+whose words are alike to ``ALIKE`` of a Jaccard similarity, estimated from ``HASHES``
+min-hashes, count once; every other one counts. The model keeps at most ``VOCABULARY``
+tokens, those of the greatest weight of evidence, so it has a bounded size at any input.
 Every document is scored, over its whole text.
 
 Null texts count as empty; a text without tokens has no evidence and gets the score of
@@ -47,6 +49,10 @@ SHRINK = 3.0
 DRIFT = 0.5
 #: Passages are significant if as many as good are this improbable by chance.
 CHANCE = 0.05
+#: Min-hashes of the words of a text, and how many of them make a band.
+HASHES, BAND = 256, 8
+#: Share of equal min-hashes, an estimate of the Jaccard similarity, that makes a near copy.
+ALIKE = 0.8
 #: Lengths of the beginnings of words that are counted beside the words.
 STEMS = (4, 5, 6)
 
@@ -194,15 +200,57 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0) -> tuple[float, ...
     return tuple(float(v) for v in w)
 
 
-def _sign(text: Column) -> Column:
-    """The least hash of the words of a text, alike for near copies; NULL without words."""
+_SHIFT = np.random.default_rng(0).integers(0, 2**64, (2, HASHES, 1), dtype=np.uint64) | np.uint64(1)
 
-    @F.arrow_udf("bigint")
-    def least(texts: pa.Array) -> pa.Array:
+
+def _minima(text: str, memo: _Forms) -> np.ndarray:
+    """Least values of ``HASHES`` hashes of the words of a text; all alike without words."""
+    words = np.array([memo[w][0] for w in set(tokens(text))], np.int64).view(np.uint64)
+    least = np.full(HASHES, 2**32 - 1, np.uint32)
+    for at in range(0, len(words), 4096):
+        part = (words[at : at + 4096] * _SHIFT[0] + _SHIFT[1]) >> np.uint64(32)
+        least = np.minimum(least, part.min(axis=1).astype(np.uint32))
+    return least
+
+
+def _signature(text: Column) -> Column:
+    @F.arrow_udf("binary")
+    def sign(texts: pa.Array) -> pa.Array:
         memo = _Forms()
-        return pa.array([min((memo[w][0] for w in set(tokens(t.as_py()))), default=None) for t in texts], pa.int64())
+        return pa.array([_minima(t.as_py(), memo).tobytes() for t in texts], pa.binary())
+
+    return sign(text)
 
-    return least(text)
+
+def distinct(signatures: np.ndarray) -> list[int]:
+    """Rows that are no near copy of a row kept before, in the order of the signatures.
+
+    Rows that agree in a band of hashes are compared; near copies agree in ``ALIKE`` of all.
+    """
+    bands: list[dict[bytes, list[int]]] = [{} for _ in range(HASHES // BAND)]
+    kept = []
+    for i in sorted(range(len(signatures)), key=lambda i: signatures[i].tobytes()):
+        keys = [signatures[i, k * BAND : (k + 1) * BAND].tobytes() for k in range(len(bands))]
+        near = list({j for band, key in zip(bands, keys) for j in band.get(key, ())})
+        if near and ((signatures[near] == signatures[i]).mean(axis=1) >= ALIKE).any():
+            continue
+        kept.append(i)
+        for band, key in zip(bands, keys):
+            band.setdefault(key, []).append(i)
+    return kept
+
+
+def _single(rows: DataFrame, sample: int) -> DataFrame:
+    """(label, text) of the rows (n, label, text, sign) without near copies of one label.
+
+    The signatures of the sample are at most ``sample`` times one kilobyte.
+    """
+    seen = rows.select("n", "label", "sign").limit(sample).toArrow()
+    n, label = seen["n"].to_numpy(), seen["label"].to_numpy()
+    sign = np.frombuffer(b"".join(seen["sign"].to_pylist()), np.uint32).reshape(-1, HASHES)
+    kept = [int(n[at[i]]) for at in (np.flatnonzero(label == k) for k in (0, 1)) for i in distinct(sign[at])]
+    picked = rows.sparkSession.createDataFrame(pa.table({"n": pa.array(kept, pa.int64())}))
+    return rows.join(F.broadcast(picked), "n").select("label", "text")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,10 +295,10 @@ def _odds(rows: DataFrame, bad: int, good: int, vocabulary: int) -> dict[int, fl
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY) -> Model:
     """Fit a model to ``labels.toxic``; what the driver sees is bounded by the parameters."""
     rows = common.labelled_texts(docs, labels, "toxic", sample)
-    rows = session.materialise(rows.withColumn("sign", _sign(F.col("text"))), "toxic")
+    rows = rows.withColumns({"n": F.monotonically_increasing_id(), "sign": _signature(F.col("text"))})
+    rows = session.materialise(rows, "toxic")
     # near copies count once, or a copied text would make words of its own look telling
-    single = rows.groupBy("label", "sign").agg(F.min("text").alias("text")).select("label", "text")
-    single = session.materialise(single, "toxic-single")
+    single = session.materialise(_single(rows, sample), "toxic-single")
     number = {r.label: r["count"] for r in single.groupBy("label").count().collect()}
     bad, good = number.get(1, 0), number.get(0, 0)
     scores = _odds(single, bad, good, vocabulary) if bad and good else {}
