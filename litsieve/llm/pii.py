@@ -4,7 +4,7 @@ Base identifiers are found in the text as it stands. Then transducers rewrite di
 look-alike letters to ASCII, spelled digits to digits, "at" and "dot" in brackets or in
 words to the signs - and note for every output character which source characters it came
 from. Identifiers found in the rewritten text are mapped back to source spans, and those
-that overlap no base span of their kind are added.
+that reach beyond every base span of their kind are added.
 
 All scans are linear in the length of a text. Null texts count as empty; repeated rows are
 each returned. Offsets are code points, ends exclusive.
@@ -190,7 +190,7 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     taken = {k: [s for s in base if s[2] == k] for k in KINDS}
     for start, end, kind in identifiers(tape.text):
         s, e = tape.starts[start], tape.ends[end - 1]
-        if not any(s < b and a < e for a, b, _ in taken[kind]):
+        if not any(a <= s and e <= b for a, b, _ in taken[kind]):
             more.append((s, e, kind))
     return base, ordered(more)
 

@@ -86,6 +86,19 @@ def test_disguised_identifiers_map_back():
     assert pii.masked("to a@b.c or +1 (017) 555-7713.") == "to [EMAIL] or [PHONE]."
 
 
+def test_partly_disguised_identifiers_are_found_whole():
+    for text, base, whole, left in [
+        ("mail jоhn@example.com", (7, 21), (5, 21), "mail [EMAIL]"),
+        ("john (dot) smith@example.com!", (11, 28), (0, 28), "[EMAIL]!"),
+        ("to jane@mail.example (dot) com", (3, 20), (3, 30), "to [EMAIL]"),
+    ]:
+        first, every = pii.find(text)
+        assert first == [(*base, "email")] and sorted(every) == sorted([(*base, "email"), (*whole, "email")]), text
+        assert pii.masked(text) == left
+    text = "а a@b.c"  # disguised elsewhere: no second span
+    assert pii.find(text) == ([(2, 7, "email")],) * 2
+
+
 def test_random_strings_are_secrets_and_names_are_not(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
     ratio = secret_scan.ratios(secret_scan.samples(docs))
