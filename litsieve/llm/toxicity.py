@@ -160,16 +160,25 @@ class Model:
 def passages(words: list[str], line: _Line) -> tuple[list[tuple[int, int, float]], np.ndarray]:
     """The maximal segments in tokens, and the token scores.
 
-    Log-odds are of documents that hold a token, so only its first place in a text counts;
-    a word said over and over is no more evidence than once.
+    Log-odds are of documents that hold a token, so only its first place in a candidate
+    counts: a word said over and over is no more evidence than once. Each candidate is
+    judged on its own, and what it repeats belongs to the segment before.
     """
     scores = np.fromiter((line[w] for w in words), float, len(words))
-    seen: set[str] = set()
-    for i in np.flatnonzero(scores > 0).tolist():
-        if words[i] in seen:
-            scores[i] = -line.drift
-        seen.add(words[i])
-    return segments(scores), scores
+    found = []
+    for start, end, score in segments(scores):
+        telling = start + np.flatnonzero(scores[start:end] > 0)
+        seen: set[str] = set()
+        again = [i for i in telling.tolist() if words[i] in seen or seen.add(words[i])]
+        if not again:
+            found.append((start, end, score))
+            continue
+        scores[again] = -line.drift
+        parts = segments(scores[start:end])
+        for (a, _, part), (after, *_) in zip(parts, [*parts[1:], (end - start, 0, 0.0)]):
+            last = telling[np.searchsorted(telling, start + after) - 1]
+            found.append((start + a, int(last) + 1, part))
+    return found, scores
 
 
 def _decay(scores: np.ndarray, mass: np.ndarray) -> float:

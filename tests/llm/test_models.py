@@ -105,3 +105,16 @@ def test_only_near_copies_count_once():
     kept = toxicity.distinct(signs)
     # copies of the first 50 texts fall to them or they to their copies; no other text is lost
     assert len(kept) == 200 and {k if k < 200 else (k - 200) % 50 for k in kept} == set(range(200))
+
+
+def test_each_passage_is_judged_on_its_own():
+    bad = "vile rude foul mean".split()
+    line = toxicity.Model({toxicity.forms(w)[0]: 3.0 for w in bad}).line()
+    found = lambda t: toxicity.passages(t, line)[0]
+    plain = ["word"] * 100
+    assert found(bad + plain + bad) == [(0, 4, 10.0), (104, 108, 10.0)]
+    single = [x for w in bad for x in [w, *plain]]
+    assert found(single + bad)[-1] == (404, 408, 10.0)
+    # said over and over in one passage, a word counts once
+    assert found(["vile"] * 50) == [(0, 50, 2.5)]
+    assert found([*bad, "word", *bad]) == [(0, 9, 10.0)]
