@@ -1,13 +1,13 @@
 """Benchmark decontamination by template canonicalisation, in column expressions only.
 
 Numbers, names and units become typed placeholders, so a question whose numbers or names
-were exchanged still yields the same template. Every window of ``WINDOW`` canonical words
-of a document is hashed and joined with the windows of all benchmark items. A match is
-taken from the windows on one diagonal (document offset less item offset) whose slots are
-consistent: a value of the item stands for one value of the document wherever it occurs,
-and different values for different ones. Windows whose slots are the item's own count in
-any case. A document is contaminated by an item if the windows that count are at least
-``COVER`` of the item's windows.
+were exchanged still yields the same template. Texts have three forms, all without case
+and marks: one in which names stay words, one in which they are typed, and one in which
+every capitalised word is, since a name may begin a sentence. Every window of ``WINDOW``
+words of a document is hashed in each and joined with the windows of all benchmark items.
+A match is taken from the windows on one diagonal (document offset less item offset) whose
+slots are consistent; windows whose slots are the item's own count in any case. A document is contaminated by an item if the windows
+that count are at least ``COVER`` of the item's windows.
 
 The documents are read once: windows are unrolled and probed inside one stage and only
 matches leave it. The benchmark is broadcast if its windows, which are counted first, are
@@ -15,9 +15,9 @@ at most ``BROADCAST``; a larger one is joined by a shuffle whose hot keys adapti
 execution splits.
 
 Null and empty texts match nothing. Items shorter than a window are searched by windows of
-half its length; items shorter than that, or without a window of which at least half is
-plain words, are not searched. Repeated documents are each reported, an item listed twice
-with one text once.
+half its length. Items shorter than that, or without a window of which at least half is
+plain words, are not searched. Repeated documents are each reported, an item listed
+twice with one text once.
 """
 
 from __future__ import annotations
@@ -54,106 +54,143 @@ _WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
 _CAPITAL = "[A-Z\\u00C0-\\u00D6\\u00D8-\\u00DE]"
 #: A capitalised word is a name unless a sentence may begin with it.
 _NAMES = f"{_CAPITAL}(?<=(?:{_WORD}|[,;])\\x20{_CAPITAL})(?:{_WORD}|['-])*"
+_CAPITALISED = f"(?<!{_WORD}){_CAPITAL}(?:{_WORD}|['-])*"
 _NUMBERS = "[0-9]+(?:[.,:/][0-9]+)*"
-_UNITS = f"{NUMBER}\\x20(?:{'|'.join(UNITS)})(?!{_WORD})"
-_ATTACHED = f"([0-9])(?=(?:{'|'.join(UNITS)})(?!{_WORD}))"
+_UNITS = f"{NUMBER}\\x20(?i:{'|'.join(UNITS)})(?!{_WORD})"
+_ATTACHED = f"([0-9])(?=(?i:{'|'.join(UNITS)})(?!{_WORD}))"
 _MARKS = "[\\x00-\\x1F\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+#: Forms of a document: names as words, names typed, every capitalised word typed.
+FORMS = ("plain", "canon", "caps")
+
+
+def _spaced(text: Column) -> Column:
+    """The text with one kind of blank, units parted from numbers."""
+    text = F.coalesce(text, F.lit(""))
+    for blank in "\t\n\v\f\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, _ATTACHED, "$1 ")).otherwise(text)
 
 
 def canonical(df: DataFrame) -> DataFrame:
-    """Put ``canon``, the canonical words, and ``raw``, what stands there, for ``text``.
+    """Put the words of all ``FORMS`` and ``raw``, what stands there, for ``text``.
 
-    Words are cut at blanks; marks are removed and words of marks alone disappear. A unit
-    attached to its number counts as a word of its own in both. Steps on numbers are left
-    out for texts without a digit.
+    Words are cut at blanks; marks are removed and words of marks alone disappear, at the
+    same places in all forms. A unit attached to its number counts as a word of its own.
+    Steps on numbers are left out for texts without a digit.
     """
-    plain = F.coalesce("text", F.lit(""))
-    for blank in "\t\n\v\f\r":
-        plain = F.replace(plain, F.lit(blank), F.lit(" "))
-    digits = F.col("text").rlike("[0-9]")
-    df = df.withColumn("text", plain)
-    df = df.withColumn("text", F.when(digits, F.regexp_replace("text", _ATTACHED, "$1 ")).otherwise(F.col("text")))
-    df = df.withColumn("slots", F.regexp_replace("text", _NAMES, NAME))
-    typed = F.regexp_replace(F.regexp_replace("slots", _NUMBERS, NUMBER), _UNITS, f"{NUMBER} {UNIT}")
-    df = df.withColumn("slots", F.when(digits, typed).otherwise(F.col("slots")))
-    bare = F.split(F.lower(F.regexp_replace("slots", _MARKS, "")), "\\x20")
-    spelled = F.transform(bare, lambda w: F.when(w.isin(NUMBER_WORDS), NUMBER).otherwise(w))
-    df = df.select(
-        *[c for c in df.columns if c not in ("text", "slots")],
-        spelled.alias("canon"), F.split("text", "\\x20").alias("raw"),
-    )
-    marks = F.array_contains("canon", "")
-    raw = F.filter("raw", lambda w, i: F.get("canon", i) != "")
-    return df.withColumns(
+    df = df.withColumn("text", _spaced(F.col("text")))
+    df = df.withColumns(
         {
-            "raw": F.when(marks, raw).otherwise(F.col("raw")),
-            "canon": F.when(marks, F.array_remove("canon", "")).otherwise(F.col("canon")),
+            "plain": F.lower("text"), "canon": F.regexp_replace("text", _NAMES, NAME),
+            "caps": F.regexp_replace("text", _CAPITALISED, NAME),
         }
     )
+    digits = F.col("text").rlike("[0-9]")
+
+    def words(form: str) -> Column:
+        typed = F.regexp_replace(F.regexp_replace(form, _NUMBERS, NUMBER), _UNITS, f"{NUMBER} {UNIT}")
+        typed = F.when(digits, typed).otherwise(F.col(form))
+        bare = F.split(F.lower(F.regexp_replace(typed, _MARKS, "")), "\\x20")
+        return F.transform(bare, lambda w: F.when(w.isin(NUMBER_WORDS), NUMBER).otherwise(w))
+
+    df = df.select(
+        *[c for c in df.columns if c not in ("text", *FORMS)],
+        *[words(f).alias(f) for f in FORMS], F.split("text", "\\x20").alias("raw"),
+    )
+    marks = F.array_contains("plain", "")
+    new = {c: F.filter(c, lambda w, i: F.get("plain", i) != "") for c in ("canon", "caps", "raw")}
+    new["plain"] = F.array_remove("plain", "")
+    return df.withColumns({c: F.when(marks, v).otherwise(F.col(c)) for c, v in new.items()})
 
 
 def _value(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, _MARKS, ""))
 
 
-def with_windows(df: DataFrame, size: int) -> DataFrame:
-    """Add ``keys``, the hash of every window of ``size`` canonical words, a power of two.
+def with_windows(df: DataFrame, size: int, words: str = "canon", keys: str = "keys") -> DataFrame:
+    """Add ``keys``, the hash of every window of ``size`` words.
 
     Each doubling is a column of its own, since an array expression that is used three
-    times in the next one would be computed as often.
+    times in the next one would be computed as often. The last step may overlap.
     """
-    df, step = df.withColumn("keys", F.transform("canon", lambda w: F.xxhash64(w))), 1
-    while step < size:
-        rest = F.greatest(F.size("keys") - step, F.lit(0))
-        df = df.withColumn("later", F.slice("keys", F.lit(step + 1), rest))
+    df, have = df.withColumn(keys, F.transform(words, lambda w: F.xxhash64(w))), 1
+    while have < size:
+        step = min(have, size - have)
+        rest = F.greatest(F.size(keys) - step, F.lit(0))
+        df = df.withColumn("later", F.slice(keys, F.lit(step + 1), rest))
         df = df.withColumn(
-            "keys",
-            F.zip_with(F.slice("keys", F.lit(1), rest), "later", lambda a, b: F.xxhash64(a, b)),
+            keys,
+            F.zip_with(F.slice(keys, F.lit(1), rest), "later", lambda a, b: F.xxhash64(a, b)),
         )
-        step *= 2
+        have += step
     return df.drop("later")
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """(item, item_id, canon, raw, size): each item with the window size it is searched by."""
+    """(item, item_id, text, forms, raw, size): each item with the window size it is searched by.
+
+    ``names`` is a form of items alone: words that are names anywhere in the item are typed
+    wherever they stand capitalised.
+    """
     rows = benchmark.select(
         common.field("item_id").alias("item_id"), common.text_of().alias("text")
     ).distinct()
-    rows = canonical(rows.withColumn("item", F.xxhash64("item_id", "text")))
+    rows = rows.withColumns({"item": F.xxhash64("item_id", "text"), "whole": F.col("text")})
+    rows = canonical(rows).withColumnRenamed("whole", "text")
+    rows = rows.withColumn("known", F.filter("plain", lambda w, i: F.get("canon", i) == NAME))
+    named = lambda w, i: (F.get("caps", i) == NAME) & F.array_contains("known", F.get("plain", i))
+    rows = rows.withColumn("names", F.transform("canon", lambda w, i: F.when(named(w, i), NAME).otherwise(w)))
     size = F.when(F.size("canon") >= WINDOW, WINDOW).when(F.size("canon") >= WINDOW // 2, WINDOW // 2)
-    return rows.withColumn("size", size).filter("size is not null")
+    return rows.withColumn("size", size).drop("known")
 
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
     """(key, item, item_id, offset, total, values, slots): windows of items of one size.
 
-    ``values`` are the words in the text, ``slots`` the places that are placeholders.
+    ``values`` are the words in the text, ``slots`` the places that are placeholders and
+    their types. A window is searched in every form, if it is at least half plain words
+    with names typed; ``total`` counts it once.
     """
-    rows = with_windows(items.filter(F.col("size") == size), size)
-    rows = rows.select("item", "item_id", "canon", "raw", F.posexplode_outer("keys").alias("offset", "key"))
-    part = F.slice("canon", F.col("offset") + 1, F.lit(size))
-    slots = F.filter(
-        F.transform(part, lambda w, i: F.when(w.isin(NUMBER, NAME, UNIT), i)), lambda i: i.isNotNull()
-    )
-    rows = rows.select(
-        "key", "item", "item_id", "offset", slots.alias("slots"),
-        F.slice("raw", F.col("offset") + 1, F.lit(size)).alias("values"),
-    ).filter(F.col("key").isNotNull() & (F.size("slots") <= size // 2))
-    return rows.withColumn("total", F.count("*").over(Window.partitionBy("item")))
+    items = items.filter(F.col("size") == size)
+
+    def slots(form: str) -> Column:
+        part = F.slice(form, F.col("offset") + 1, F.lit(size))
+        typed = lambda w, i: F.when(w.isin(NUMBER, NAME, UNIT), F.struct(i.alias("at"), w.alias("kind")))
+        return F.filter(F.transform(part, typed), lambda i: i.isNotNull())
+
+    found = None
+    for form in (*FORMS, "names"):
+        rows = with_windows(items, size, form)
+        rows = rows.select("item", "item_id", "canon", form if form != "canon" else "plain", "raw",
+                           F.posexplode_outer("keys").alias("offset", "key"))
+        rows = rows.select(
+            "key", "item", "item_id", "offset", slots(form).alias("slots"), F.size(slots("canon")).alias("least"),
+            F.slice("raw", F.col("offset") + 1, F.lit(size)).alias("values"),
+        ).filter(F.col("key").isNotNull() & (F.size("slots") <= size // 2) & (F.col("least") <= size // 2))
+        found = rows if found is None else found.union(rows)
+    found = found.drop("least").distinct()
+    return found.withColumn("total", F.size(F.collect_set("offset").over(Window.partitionBy("item"))))
 
 
 def _aligned(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
     """Matched windows: row, item, diagonal, offset and the pairs of slot values.
 
-    The outer form of the generator keeps Spark from inferring a filter on the hashes,
-    which would compute them a second time; the join drops the empty rows.
+    A window is looked up once for each form in which it differs. The outer form of the
+    generators keeps Spark from inferring a filter on the hashes, which would compute them
+    a second time; the join drops the empty rows.
     """
-    rows = with_windows(texts, size).select("row", "raw", F.posexplode_outer("keys").alias("pos", "key"))
-    rows = rows.join(found, "key")
+    for form in FORMS:
+        texts = with_windows(texts, size, form, f"{form}_keys")
+    plain, canon, caps = (F.col(f"k.{f}_keys") for f in FORMS)
+    rows = texts.select("row", "raw", F.posexplode_outer(F.arrays_zip(*[f"{f}_keys" for f in FORMS])).alias("pos", "k"))
+    once = F.array(plain, F.when(canon != plain, canon), F.when((caps != plain) & (caps != canon), caps))
+    rows = rows.select("row", "raw", "pos", F.explode_outer(once).alias("key")).join(found, "key")
+    # a value is marked by its type, so that types are told apart
     pairs = F.transform(
         "slots",
         lambda i: F.struct(
-            _value(F.get("values", i)).alias("item"), _value(F.get("raw", F.col("pos") + i)).alias("doc")
+            F.concat(i["kind"], _value(F.get("values", i["at"]))).alias("item"),
+            F.concat(i["kind"], _value(F.get("raw", F.col("pos") + i["at"]))).alias("doc"),
         ),
     )
     rows = rows.select(
@@ -168,17 +205,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Data
 
     ``docs`` has row, which tells rows apart, and text.
     """
-    items = _items(benchmark)
+    items = session.materialise(_items(benchmark), "items")
     texts = canonical(docs)
     found = None
     for size in (WINDOW, WINDOW // 2):
-        keys = item_windows(items, size)
+        keys = session.materialise(item_windows(items, size), "item-windows")
         count = keys.count()
         if not count and size != WINDOW:
             continue  # no short item: no second set of windows
         part = _aligned(texts, F.broadcast(keys) if count <= BROADCAST else keys, size)
         found = part if found is None else found.union(part)
-    # an offset occurs once on a diagonal: the lists are no longer than the item
+    # an offset occurs at most once for each form on a diagonal
     lines = found.groupBy("row", "item", "item_id", "total", "diagonal").agg(
         F.collect_list(F.struct("offset", "pairs", "same")).alias("hits")
     )

@@ -297,6 +297,30 @@ def test_changed_questions(spark, items):
     assert {(r.doc_id, r.item_id, r.verbatim) for r in got} == {(1, 1, False), (3, 1, True), (4, 4, True)}
 
 
+def reported(spark, questions, rows):
+    items = spark.createDataFrame(list(enumerate(questions)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    return {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()}
+
+
+ANNA = "Anna has 3 apples. Anna buys 4 more. How many apples does Anna have now?"
+MET = "After school, Tom met Ann and Bob near the old mill, where Ann sold 12 eggs to Bob for 5 dollars."
+
+
+def test_copies_in_any_case_and_without_marks(spark):
+    rows = []
+    for q in (ANNA, MET):
+        rows += [q.upper(), q.lower(), q.title(), re.sub("[.,?]", "", q)]
+    rows = ["Some words before it: " + r + " and some words after." for r in rows]
+    assert reported(spark, [ANNA, MET], rows) == {(i, i // 4) for i in range(8)}
+
+
+def test_names_changed_where_sentences_begin(spark):
+    rows = [ANNA.replace("Anna", "Maria").replace("3", "5").replace("4", "2"),
+            "Bill went home. Then he has seen 3 apples and how many of them does he have"]
+    assert reported(spark, [ANNA], rows) == {(0, 0)}
+
+
 def test_decontamination_with_a_shuffled_benchmark(spark, items, monkeypatch):
     df = spark.createDataFrame([(1, "Tom has 3 apples and gives 3 apples to Ann who then walks 5 km to the big market")], "doc_id long, text string")
     monkeypatch.setattr(decontam, "BROADCAST", 0)
