@@ -5,8 +5,10 @@ were exchanged still yields the same template. Texts have three forms, all witho
 and marks: one in which names stay words, one in which they are typed, and one in which
 every capitalised word is, since a name may begin a sentence. Every window of ``WINDOW``
 words of a document is hashed in each and joined with the windows of all benchmark items.
-A match is taken from the windows on one diagonal (document offset less item offset) whose
-slots are consistent; windows whose slots are the item's own count in any case. A document is contaminated by an item if the windows
+On one diagonal (document offset less item offset) a value of the item stands for one
+value of the document within its type. Windows that hold a value which stands for several
+do not count, nor does a diagonal of which they are half or more; windows whose slots are
+the item's own count in any case. A document is contaminated by an item if the windows
 that count are at least ``COVER`` of the item's windows.
 
 The documents are read once: windows are unrolled and probed inside one stage and only
@@ -219,12 +221,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Data
     lines = found.groupBy("row", "item", "item_id", "total", "diagonal").agg(
         F.collect_list(F.struct("offset", "pairs", "same")).alias("hits")
     )
-    lines = lines.withColumn("pairs", F.array_distinct(F.flatten("hits.pairs")))
-    one_to_one = (F.size(F.array_distinct("pairs.item")) == F.size("pairs")) & (
-        F.size(F.array_distinct("pairs.doc")) == F.size("pairs")
+    lines = lines.withColumn("stands", F.col("hits.pairs")).withColumn("stands", F.array_distinct(F.flatten("stands")))
+    lines = lines.withColumn("stands", F.col("stands.item"))
+    split = F.filter(
+        F.array_distinct("stands"), lambda v: F.size(F.filter("stands", lambda w: w == v)) > 1
     )
-    lines = lines.withColumn("consistent", one_to_one).drop("pairs")
-    lines = lines.withColumn("hit", F.explode("hits")).filter("consistent or hit.same")
+    lines = lines.withColumn("split", split)
+    free = lambda h: ~F.exists(h["pairs"], lambda p: F.array_contains("split", p["item"]))
+    lines = lines.withColumn("free", F.filter("hits", free))
+    most = F.size(F.array_distinct("free.offset")) * 2 > F.size(F.array_distinct("hits.offset"))
+    # verbatim windows count in any case
+    own = F.filter("hits", lambda h: h["same"])
+    lines = lines.withColumn("hit", F.explode(F.when(most, F.concat("free", own)).otherwise(own)))
     out = lines.groupBy("row", "item", "item_id", "total").agg(
         F.count_distinct("hit.offset").alias("matched"), F.min("hit.same").alias("verbatim")
     )

@@ -321,6 +321,18 @@ def test_names_changed_where_sentences_begin(spark):
     assert reported(spark, [ANNA], rows) == {(0, 0)}
 
 
+def test_changed_values_may_coincide(spark):
+    train = ("A train that is {} m long passes a pole in {} seconds and a bridge in {} seconds so how long is the bridge")
+    baker = ("The baker bakes {} loaves before noon and {} loaves after noon and sells all of them for {} dollars each in the shop")
+    items = [train.format(120, 6, 15), baker.format(3, 5, 7)]
+    box = ("Tom puts {} plums and {} pears in a box and carries the box over a hill to the small house where {} cats and "
+           "{} dogs of his old aunt live since she left the town by the sea some {} years ago")
+    items.append(box.format(5, 5, 2, 7, 11))
+    rows = [train.format(90, 9, 9), baker.format(4, 4, 7), baker.format(2, 3, 9), box.format(6, 8, 3, 9, 12)]
+    # a value that stands for two drops its windows only
+    assert reported(spark, items, rows) == {(0, 0), (1, 1), (2, 1), (3, 2)}
+
+
 def test_decontamination_with_a_shuffled_benchmark(spark, items, monkeypatch):
     df = spark.createDataFrame([(1, "Tom has 3 apples and gives 3 apples to Ann who then walks 5 km to the big market")], "doc_id long, text string")
     monkeypatch.setattr(decontam, "BROADCAST", 0)
