@@ -18,7 +18,8 @@ execution splits.
 
 Null and empty texts match nothing. Items shorter than a window are searched by windows of
 half its length. Items shorter than that, or without a window of which at least half is
-plain words, are not searched. Repeated documents are each reported, an item listed
+plain words, are searched verbatim, by windows of their words as they stand. Characters of
+scripts without blanks are words. Repeated documents are each reported, an item listed
 twice with one text once.
 """
 
@@ -61,16 +62,27 @@ _NUMBERS = "[0-9]+(?:[.,:/][0-9]+)*"
 _UNITS = f"{NUMBER}\\x20(?i:{'|'.join(UNITS)})(?!{_WORD})"
 _ATTACHED = f"([0-9])(?=(?i:{'|'.join(UNITS)})(?!{_WORD}))"
 _MARKS = "[\\x00-\\x1F\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+#: Characters of scripts without blanks are words each; their marks part words.
+_UNSPACED = (
+    "[\\u0E00-\\u0EFF\\u1000-\\u109F\\u1780-\\u17FF\\u3040-\\u30FF\\u3400-\\u4DBF\\u4E00-\\u9FFF"
+    "\\uF900-\\uFAFF\\uFF66-\\uFF9F\\x{20000}-\\x{3FFFF}]"
+)
+_PARTING = "[\\u3000-\\u303F\\uFF01-\\uFF0F\\uFF1A-\\uFF20\\uFF3B-\\uFF40\\uFF5B-\\uFF65]"
+#: Sentence marks at either end of a word.
+_SENTENCE = "[.,;:!?\"'()\\[\\]{}]+(?=\\x20|$)|(?<![^\\x20])[.,;:!?\"'()\\[\\]{}]+"
+
 #: Forms of a document: names as words, names typed, every capitalised word typed.
 FORMS = ("plain", "canon", "caps")
 
 
 def _spaced(text: Column) -> Column:
-    """The text with one kind of blank, units parted from numbers."""
+    """The text with one kind of blank, units parted from numbers, unspaced scripts parted."""
     text = F.coalesce(text, F.lit(""))
     for blank in "\t\n\v\f\r":
         text = F.replace(text, F.lit(blank), F.lit(" "))
-    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, _ATTACHED, "$1 ")).otherwise(text)
+    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, _ATTACHED, "$1 ")).otherwise(text)
+    parted = F.regexp_replace(F.regexp_replace(text, _PARTING, " "), f"({_UNSPACED})", " $1 ")
+    return F.when(text.rlike(_UNSPACED), parted).otherwise(text)
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -105,6 +117,11 @@ def canonical(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(marks, v).otherwise(F.col(c)) for c, v in new.items()})
 
 
+def bare_words(text: Column) -> Column:
+    """The words as they stand, in lower case and without sentence marks around them."""
+    return F.array_remove(F.split(F.regexp_replace(F.lower(_spaced(text)), _SENTENCE, ""), "\\x20"), "")
+
+
 def _value(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, _MARKS, ""))
 
@@ -202,6 +219,26 @@ def _aligned(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("same", F.forall("pairs", lambda p: p["item"] == p["doc"]))
 
 
+def _verbatim(docs: DataFrame, rest: DataFrame) -> DataFrame | None:
+    """Matched windows, as ``_aligned`` has them, of the words as they stand of other items."""
+    words = rest.select("item", "item_id", bare_words(F.col("text")).alias("words")).filter("size(words) > 0")
+    n = F.size("words")
+    size = F.when(n >= WINDOW, WINDOW).when(n >= WINDOW // 2, WINDOW // 2).otherwise(n)
+    words = session.materialise(words.withColumn("size", size), "bare-items")
+    found = None
+    for size in sorted(r.size for r in words.select(F.col("size").alias("size")).distinct().collect()):
+        keys = with_windows(words.filter(F.col("size") == size), size, "words")
+        keys = keys.select("item", "item_id", F.size("keys").alias("total"), F.posexplode("keys").alias("offset", "key"))
+        texts = with_windows(docs.select("row", bare_words(F.col("text")).alias("words")), size, "words")
+        rows = texts.select("row", F.posexplode_outer("keys").alias("pos", "key"))
+        rows = rows.join(F.broadcast(keys) if keys.count() <= BROADCAST else keys, "key").select(
+            "row", "item", "item_id", "total", (F.col("pos") - F.col("offset")).alias("diagonal"), "offset",
+            F.array().cast("array<struct<item:string,doc:string>>").alias("pairs"), F.lit(True).alias("same"),
+        )
+        found = rows if found is None else found.union(rows)
+    return found
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """(row, item_id, matched, total, cover, verbatim) of contaminated document rows.
 
@@ -209,14 +246,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Data
     """
     items = session.materialise(_items(benchmark), "items")
     texts = canonical(docs)
-    found = None
+    found, searched = None, None
     for size in (WINDOW, WINDOW // 2):
         keys = session.materialise(item_windows(items, size), "item-windows")
+        searched = keys.select("item") if searched is None else searched.union(keys.select("item"))
         count = keys.count()
         if not count and size != WINDOW:
             continue  # no short item: no second set of windows
         part = _aligned(texts, F.broadcast(keys) if count <= BROADCAST else keys, size)
         found = part if found is None else found.union(part)
+    others = _verbatim(docs, items.join(searched.distinct(), "item", "left_anti"))
+    found = found if others is None else found.union(others)
     # an offset occurs at most once for each form on a diagonal
     lines = found.groupBy("row", "item", "item_id", "total", "diagonal").agg(
         F.collect_list(F.struct("offset", "pairs", "same")).alias("hits")

@@ -333,6 +333,13 @@ def test_changed_values_may_coincide(spark):
     assert reported(spark, items, rows) == {(0, 0), (1, 1), (2, 1), (3, 2)}
 
 
+def test_short_and_unspaced_items_are_searched(spark):
+    items = ["What is 12 + 37 * 4 - 9 / 3 + 18 ?", "Define entropy.", "小明有3个苹果，又买了4个，现在有几个？", "Name three noble gases"]
+    rows = ["so what is 12 + 37 * 4 - 9 / 3 + 18? tell me", "please define entropy, he said", "问题：" + items[2] + "答案是7",
+            "what is 12 - 37 * 9 + 18", "entropy", "name three noble gases now"]
+    assert reported(spark, items, rows) == {(0, 0), (1, 1), (2, 2), (5, 3)}
+
+
 def test_decontamination_with_a_shuffled_benchmark(spark, items, monkeypatch):
     df = spark.createDataFrame([(1, "Tom has 3 apples and gives 3 apples to Ann who then walks 5 km to the big market")], "doc_id long, text string")
     monkeypatch.setattr(decontam, "BROADCAST", 0)
