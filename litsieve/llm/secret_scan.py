@@ -5,7 +5,7 @@ of key characters long enough is scored by two character Markov models, one of r
 strings and one of ordinary identifiers: the log-likelihood ratio of its characters, each
 given the one before. The models are pair counts added up by Spark over labelled samples:
 random are values of base secrets and digests in the usual alphabets made from row
-numbers; ordinary are words of the corpus that hold no base secret. Only the two count
+numbers; ordinary are words that hold no base secret, of all documents. Only the two count
 tables, at most ``_SIZE`` squared cells each whatever the input, reach the driver; the
 ratios go back as one array literal.
 
@@ -31,11 +31,10 @@ HEX = "[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_VALUE = 12
 
-#: Runs of key characters shorter than this are no candidates.
-LEAST = 20
+#: Runs of key characters shorter than this are no candidates, nor are plain numbers
+#: shorter than ``LEAST_NUMBER``.
+LEAST, LEAST_NUMBER = 12, 20
 CANDIDATE = f"[A-Za-z0-9+/_=-]{{{LEAST},}}"
-#: Documents, in expectation, whose words are the ordinary sample.
-SAMPLE_DOCS = 4_000
 #: Digests made for the random sample.
 DIGESTS = 4_000
 #: Mean log-likelihood ratio a character from which a run counts as random.
@@ -82,25 +81,21 @@ def base_spans(df: DataFrame) -> DataFrame:
 # --- models
 
 
-def samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, digests: int = DIGESTS) -> DataFrame:
-    """(value, random): labelled strings.
-
-    The ordinary sample takes the words of documents whose hash falls below a threshold
-    set by the number of documents: as many in expectation at every size.
-    """
+def samples(docs: DataFrame, digests: int = DIGESTS) -> DataFrame:
+    """(value, random): labelled strings, those of the corpus from all documents."""
     spark = docs.sparkSession
-    share = sample_docs / max(docs.count(), 1)
-    limit = min(int(share * 2**30), 2**30)
-    picked = docs.filter(F.pmod(F.xxhash64(common.field("doc_id")), F.lit(2**30)) < limit)
-    picked = base_spans(picked.select(common.text_of().alias("text")))
+    picked = base_spans(docs.select(common.text_of().alias("text")))
     found = F.concat(
         F.transform("assign", lambda s: F.regexp_extract(s["hit"], ASSIGN, 1)),
         F.transform("access", lambda s: s["hit"]), F.transform("hex", lambda s: s["hit"]),
     )
     words = F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_=-]{6,}"), F.lit(0))
     plain = F.filter(words, lambda w: ~w.rlike("[0-9]{3,}|" + HEX))
-    secrets = picked.select(F.explode(found).alias("value"), F.lit(True).alias("random"))
-    ordinary = picked.select(F.explode(plain).alias("value"), F.lit(False).alias("random"))
+    labelled = lambda values, random: F.transform(
+        values, lambda v: F.struct(v.alias("value"), F.lit(random).alias("random"))
+    )
+    # both kinds in one read of the documents
+    seen = picked.select(F.explode(F.concat(labelled(found, True), labelled(plain, False))).alias("v")).select("v.*")
     digest = F.sha2(F.col("id").cast("string"), 256)
     made = spark.range(digests).select(
         F.explode(
@@ -113,7 +108,7 @@ def samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, digests: int = DIGE
         ).alias("value"),
         F.lit(True).alias("random"),
     )
-    return secrets.union(made).union(ordinary)
+    return seen.union(made)
 
 
 def ratios(labelled: DataFrame, weight: float = 8.0) -> list[float]:
@@ -129,11 +124,11 @@ def ratios(labelled: DataFrame, weight: float = 8.0) -> list[float]:
     )
     rows = labelled.filter(F.length("value") > 1).select("random", F.explode(pairs).alias("pair"))
     rows = rows.filter(F.col("pair").between(0, _SIZE**2 - 1))
+    counts = {True: [0.0] * _SIZE**2, False: [0.0] * _SIZE**2}
+    for r in rows.groupBy("random", "pair").count().collect():
+        counts[r.random][r.pair] = float(r["count"])
     logs = []
-    for kind in (True, False):
-        seen = [0.0] * _SIZE**2
-        for r in rows.filter(F.col("random") == kind).groupBy("pair").count().collect():
-            seen[r.pair] = float(r["count"])
+    for seen in counts.values():
         alone = [sum(seen[b::_SIZE]) + 0.5 for b in range(_SIZE)]
         whole = sum(alone)
         logs.append(
@@ -170,6 +165,7 @@ def scanned(docs: DataFrame, cut: float = CUT) -> DataFrame:
     free = F.filter(
         "random",
         lambda r: (~F.exists("base", lambda b: (r["start"] < b["end"]) & (b["start"] < r["end"])))
+        & ~((F.length(r["hit"]) < LEAST_NUMBER) & r["hit"].rlike("^[0-9]+$"))
         & (_score(r["hit"], literal) >= cut),
     )
     df = df.withColumn("random", F.when(F.size("random") > 0, free).otherwise(F.col("random")))

@@ -114,6 +114,20 @@ def test_random_strings_are_secrets_and_names_are_not(spark):
     assert np.mean([mean(w) >= secret_scan.CUT for w in words]) < 0.005
 
 
+def test_short_random_strings_are_secrets_and_numbers_are_not(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    keys = ["q7ZkP2xVb9Tw", "Xr4Kw9QzT7mBv2Lp", "aG5tR8wQz3XkV6nJpY2"]
+    rows = [(-1 - i, f"the key {k} here") for i, k in enumerate([*keys, "9385720416283", "7305918264027351", "internationally"])]
+    both = docs.union(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.spans for r in secret_scan.scanned(both).filter("doc_id < 0").collect()}
+    assert got == {-1 - i: f"random:8:{8 + len(k)}" for i, k in enumerate(keys)} | {-4: "", -5: "hex:8:24", -6: ""}
+
+
+def test_ordinary_words_are_of_all_documents(spark):
+    docs = spark.range(6000).selectExpr("id doc_id", "'ordinary' text")
+    assert secret_scan.samples(docs).filter("not random").count() == 6000
+
+
 def test_quality_counts(spark, folder):
     rows = mixed_texts(5, ["a ", "b ", "c\n", "#x ", "a b c\n", "\n", " ", "é ", "\x1f", "\t", "😀 | "]) + [
         (r.doc_id + 1000, r.text) for r in texts(spark, folder).collect()
