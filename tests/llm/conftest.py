@@ -5,7 +5,8 @@ import pytest
 #: Columns that operators use inside must not clash with those of the input.
 CLASHING = (
     "row size name bucket place rank start copies doc fp anchor part key n_words hits digest score label "
-    "v base assign hex random hashes keys canon raw slots source_size target"
+    "v base assign hex random hashes keys canon raw slots source_size target "
+    "copy n hit kind tree block position witness root part at norm run word gram best size changed"
 ).split()
 
 

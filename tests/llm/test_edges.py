@@ -9,13 +9,16 @@ import pytest
 import corpus_pipeline
 from litsieve.llm import (
     decontam,
+    exact_dedup,
     html_extract,
     license_scan,
+    manifest,
     mixing,
     pii,
     quality,
     secret_scan,
     simhash,
+    spelling,
     substring_dedup,
     toxicity,
 )
@@ -29,6 +32,8 @@ PER_ROW = {
     "repeats": lambda d, j, i: substring_dedup.deduplicated(d),
     "licenses": lambda d, j, i: license_scan.scanned(d),
     "simhash": lambda d, j, i: simhash.linked(d),
+    "exact": lambda d, j, i: exact_dedup.classes(d),
+    "manifest": lambda d, j, i: manifest.audited(d, levels=2),
 }
 
 
@@ -81,3 +86,8 @@ def test_stages(spark, odd, none, judged, items, tmp_path, name, stage):
         if name == "personal_data":
             assert len(rows) == docs.count()
             assert all((r.text is None) == (r.n_chars is None) for r in rows)
+
+
+def test_spelling(odd, none):
+    assert spelling.grouped(odd).collect() == []  # no word of six letters is met five times
+    assert spelling.grouped(none).collect() == []
