@@ -5,9 +5,13 @@ of a word are put in one order for all words, rare ones first. The prefix of a w
 bigrams up to the third in that order; its pivots are two bigrams of the prefix that share no
 letter, chosen by dynamic programming to be rarest in sum. One edit destroys at most one
 pivot. So of two near words the one whose prefix ends no later has a pivot that the other
-holds, and holds within its own prefix. The pivot may move by one place, and only in the
-direction in which the lengths differ: gram, place and length together are the key of an
-equality join. What it finds is verified by the edit distance within the join.
+holds, and holds within its own prefix.
+
+An edit before the second pivot leaves that one and all after it as they are; any other edit
+leaves the first pivot and all before it. So a word is asked for by the end that begins with
+its second pivot and by the beginning that ends with its first one, and found by the ends and
+beginnings at the bigrams of its prefix. Length and piece, which tell the place of the pivot,
+are the key of an equality join. What it finds is verified by the edit distance within the join.
 
 Bigrams are counted per occurrence in words; there are at most ``ALPHABET`` squared, whatever
 the corpus, so their order is broadcast. A word's form is its most frequent near word, if
@@ -23,7 +27,7 @@ their names, are ignored.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -113,23 +117,25 @@ def pivots(grams: Sequence[Gram], wanted: int = EDITS + 1) -> list[Gram]:
     return list(before[-1][wanted][1])
 
 
-_PARTS = "struct<prefix:array<struct<gram:string,at:int>>,pivots:array<struct<gram:string,at:int>>>"
-_GRAMS = pa.list_(pa.struct([("gram", pa.string()), ("at", pa.int32())]))
+_PARTS = "struct<prefix:array<int>,pivots:array<int>,last:bigint>"
+_PLACES = pa.list_(pa.int32())
+_PARTS_TYPE = pa.struct([("prefix", _PLACES), ("pivots", _PLACES), ("last", pa.int64())])
 
 
 def parts(word: Column, counts: dict[str, int]) -> Column:
-    """Prefix and pivots of a word."""
-
-    def named(grams: Iterable[Gram]) -> list[dict]:
-        return [{"gram": g, "at": at} for _, g, at in grams]
+    """Places of prefix and pivots of a word, and the number of its prefix's last bigram."""
+    number = {g: i for i, g in enumerate(sorted(counts, key=lambda g: (counts[g], g)))}
 
     @F.arrow_udf(_PARTS)
     def cut(words: pa.Array) -> pa.Array:
         out = []
         for w in words.to_pylist():
             grams = prefix(w, counts)
-            out.append({"prefix": named(grams), "pivots": named(pivots(grams))})
-        return pa.array(out, pa.struct([("prefix", _GRAMS), ("pivots", _GRAMS)]))
+            out.append({
+                "prefix": [at for _, _, at in grams], "pivots": [at for _, _, at in pivots(grams)],
+                "last": max(number[g] for _, g, _ in grams),
+            })
+        return pa.array(out, _PARTS_TYPE)
 
     return cut(word)
 
@@ -140,32 +146,38 @@ def _grams(words: DataFrame) -> DataFrame:
     return words.withColumn("parts", parts(F.col("word"), counts)).select("word", "n", "parts.*")
 
 
+def _pieces(word: Column, size: Column, last: Column, first: Column) -> Column:
+    """The end from place ``last`` on, and the beginning through the bigram at ``first``."""
+    ends = F.struct(F.lit(True).alias("end"), F.substring(word, last + 1, size).alias("piece"))
+    begins = F.struct(F.lit(False).alias("end"), F.substring(word, F.lit(1), first + GRAM).alias("piece"))
+    return F.array(ends, begins)
+
+
 def near_words(words: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b): every pair of near words among (word, n), once, a before b."""
+    """(a, b, n_a, n_b): every pair of near words among (word, n), once, a before b. Stored."""
     rows = session.materialise(_grams(words), "grams")
-    size = F.char_length("word")
-    held = rows.select("word", "n", size.alias("size"), F.explode("prefix").alias("g"))
-    held = held.select(F.col("word").alias("b"), F.col("n").alias("n_b"), "size", "g.gram", "g.at")
-    asked = rows.select("word", "n", size.alias("size"), F.explode("pivots").alias("g"))
-    # (change of length, change of place): letters after an inserted one move with it
-    moves = [(0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1)]
-    moved = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.lit(p).alias("p")) for s, p in moves]))
-    asked = asked.select("word", "n", "size", "g.gram", "g.at", moved.alias("m"))
-    asked = asked.select(
-        F.col("word").alias("a"), F.col("n").alias("n_a"), (F.col("size") + F.col("m.s")).alias("size"),
-        "gram", (F.col("at") + F.col("m.p")).alias("at"),
+    word, size = F.col("word"), F.char_length("word")
+    held = rows.select("word", "n", "last", size.alias("size"), F.explode("prefix").alias("at"))
+    held = held.select(
+        F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("last").alias("last_b"), "size",
+        F.inline(_pieces(word, F.col("size"), F.col("at"), F.col("at"))),
+    )
+    asked = rows.select(
+        F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("last").alias("last_a"),
+        F.explode(F.array(size - 1, size, size + 1)).alias("size"),
+        _pieces(word, size, F.col("pivots")[1], F.col("pivots")[0]).alias("pieces"),
     )
-    same = ["gram", "at", "size"]
-    met = [F.col(f"p.{c}") == F.col(f"h.{c}") for c in same]
-    near = F.levenshtein("a", "b", EDITS) == 1
-    found = asked.alias("p").join(held.alias("h"), [*met, F.col("a") != F.col("b"), near])
+    asked = asked.select("a", "n_a", "last_a", "size", F.inline("pieces"))
+    same = [F.col(f"p.{c}") == F.col(f"h.{c}") for c in ("size", "end", "piece")]
+    near = (F.col("last_a") <= F.col("last_b")) & (F.levenshtein("a", "b", EDITS) == 1)
+    found = asked.alias("p").join(held.alias("h"), [*same, near])
     swap = F.col("a") > F.col("b")
     found = found.select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
         F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"),
         F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"),
     )
-    return found.distinct()
+    return session.materialise(found.distinct(), "pairs")
 
 
 # --- forms
