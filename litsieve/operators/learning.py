@@ -16,13 +16,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from litsieve.operators.boosting import BoostedTrees
 from litsieve.operators.features import TermVectorizer, with_class_weight, with_terms
 from litsieve.operators.reports import class_report
+from litsieve.operators.sgd import SgdClassifier
 from litsieve.session import materialise
 
-# Model settings of the published classifiers. Fixed values. Spark's boosted
-# trees have no minimum size for a node to be split; the minimum leaf size bounds
-# it instead. Forests are as deep as Spark allows, since theirs had no limit.
+# Model settings of the published classifiers. Fixed values. The first four are
+# Spark's own learners: its boosted trees have no minimum size for a node to be
+# split, forests are as deep as Spark allows, since theirs had no limit, and the
+# linear ones are solved by quasi-Newton steps. The last three learn as published:
+# gradient descent with falling steps, and trees with both size bounds.
 MODELS: dict[str, tuple[type, dict[str, Any]]] = {
     "gbt": (
         GBTClassifier,
@@ -38,8 +42,15 @@ MODELS: dict[str, tuple[type, dict[str, Any]]] = {
         {"regParam": 0.5, "elasticNetParam": 0.0, "standardization": False},
     ),
     "svm": (LinearSVC, {"regParam": 0.0001, "standardization": False, "maxIter": 1000, "tol": 0.001}),
+    "sgd_logistic": (SgdClassifier, {"loss": "log", "alpha": 0.5, "epochs": 5}),
+    "sgd_svm": (SgdClassifier, {"loss": "hinge", "alpha": 0.0001, "epochs": 1000, "tol": 0.001}),
+    "boosted": (
+        BoostedTrees,
+        {"rounds": 1600, "depth": 3, "stepSize": 0.05, "leastSplit": 600, "leastLeaf": 150, "columns": 0.7, "rows": 0.85},
+    ),
 }
-BALANCED = {"rf", "logistic", "svm"}
+BALANCED = {"rf", "logistic", "svm", "sgd_logistic", "sgd_svm"}
+SEEDED = {"gbt", "rf", "sgd_logistic", "sgd_svm", "boosted"}
 
 
 def classifier(kind: str, seed: int | None = None, **settings: Any) -> Estimator:
@@ -49,7 +60,7 @@ def classifier(kind: str, seed: int | None = None, **settings: Any) -> Estimator
     params = {"featuresCol": "features", "labelCol": "label", **defaults, **settings}
     if kind in BALANCED:
         params["weightCol"] = "weight"
-    if seed is not None and kind in ("gbt", "rf"):
+    if seed is not None and kind in SEEDED:
         params["seed"] = seed
     if kind in ("gbt", "rf"):
         # long chains of trees: cut the lineage of the node-id cache
@@ -65,14 +76,24 @@ def _training_rows(df: DataFrame, kind: str, *keep: str) -> DataFrame:
 
 
 def fit(train: DataFrame, kind: str, seed: int | None = None,
-        vectorizer: Mapping[str, Any] | None = None, **settings: Any) -> PipelineModel:
+        vectorizer: Mapping[str, Any] | None = None, validation: DataFrame | None = None,
+        **settings: Any) -> PipelineModel:
     """Train on rows with ``words`` (array of strings) and ``label`` (0/1).
 
-    Only the vectors are kept for the passes of the learner, never the texts.
+    Only the vectors are kept for the passes of the learner, never the texts. A
+    validation set chooses the number of rounds of ``boosted`` trees; its words have no
+    part in the vocabulary.
     """
+    if validation is not None and kind != "boosted":
+        raise ValueError(f"{kind!r} has no use for a validation set")
     rows = _training_rows(train, kind)
     vectors = TermVectorizer(**(vectorizer or {})).fit(rows)
-    ready = vectors.transform(rows).drop("words", "terms").persist(StorageLevel.MEMORY_AND_DISK)
+    ready = vectors.transform(rows).drop("words", "terms")
+    if validation is not None:
+        held = vectors.transform(_training_rows(validation, kind)).drop("words", "terms")
+        ready = ready.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
+        settings = {"validationCol": "held"} | settings
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return PipelineModel([vectors, classifier(kind, seed, **settings).fit(ready)])
     finally:
