@@ -52,9 +52,6 @@ class Rows:
     def __len__(self) -> int:
         return len(self.starts) - 1
 
-    def positions(self, size: int) -> np.ndarray:
-        return np.arange(len(self), dtype=np.int64) + self.block * size
-
 
 def _starts(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)

@@ -10,7 +10,7 @@ order of addition nor on the partitions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -72,11 +72,14 @@ def drawn(numbers: np.ndarray, share: float, *key: int) -> np.ndarray:
 class _Lookup:
     """Which rows hold a feature, from entries ordered by feature."""
 
-    def __init__(self, starts: np.ndarray, terms: np.ndarray):
-        self.n = len(starts) - 1
+    def __init__(self, n: int, terms: np.ndarray, rows: np.ndarray):
+        self.n, self.terms, self.rows = n, terms, rows
+
+    @classmethod
+    def of(cls, starts: np.ndarray, terms: np.ndarray) -> _Lookup:
         order = np.argsort(terms, kind="stable")
-        self.terms = terms[order]
-        self.rows = np.repeat(np.arange(self.n), np.diff(starts))[order]
+        rows = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
+        return cls(len(starts) - 1, terms[order], rows[order])
 
     def holds(self, feature: int) -> np.ndarray:
         a, b = np.searchsorted(self.terms, [feature, feature + 1])
@@ -99,21 +102,34 @@ class _Lookup:
             margins += step * np.array(tree.value)[self.nodes(tree.feature, depth)]
 
 
+_STATE = "block bigint, labels binary, terms binary, rows binary, margins binary"
+
+
 def _margins(trees: Sequence[Tree], start: float, s: Settings) -> Callable[[blocks.Batches], blocks.Batches]:
-    """Blocks with the margins that all trees so far give."""
+    """Blocks by feature, with the margins that all trees so far give."""
 
     def run(batches: blocks.Batches) -> blocks.Batches:
         for batch in batches:
-            margins = []
+            out = []
             for rows in blocks.unpack(batch):
-                margin = np.full(len(rows), start)
-                _Lookup(rows.starts, rows.terms).add(margin, trees, s.step, s.depth)
-                margins.append(margin.tobytes())
-            yield batch.append_column("margins", pa.array(margins, pa.binary()))
+                look, margin = _Lookup.of(rows.starts, rows.terms), np.full(len(rows), start)
+                look.add(margin, trees, s.step, s.depth)
+                arrays = rows.labels, look.terms, look.rows, margin
+                out.append((rows.block, *(a.tobytes() for a in arrays)))
+            columns = [pa.array(c) for c in zip(*out)]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "labels", "terms", "rows", "margins"])
 
     return run
 
 
+def _state(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, _Lookup, np.ndarray]]:
+    """(block, labels, lookup, margins) of the blocks of a batch."""
+    for row in batch.to_pylist():
+        labels, margins = (np.frombuffer(row[c], "<f8") for c in ("labels", "margins"))
+        terms, rows = (np.frombuffer(row[c], "<i4") for c in ("terms", "rows"))
+        yield row["block"], labels, _Lookup(len(labels), terms, rows), margins.copy()
+
+
 _HISTOGRAM = "node int, feature int, n bigint, r bigint, h bigint"
 
 
@@ -129,16 +145,14 @@ def _histogram(recent: Sequence[Tree], splits: Sequence[int], active: Sequence[i
         sums = np.zeros((3, len(active) * features))
         totals = np.zeros((3, len(active)))
         for batch in batches:
-            margins = batch.column("margins").to_pylist()
-            for rows, margin in zip(blocks.unpack(batch), margins):
-                look = _Lookup(rows.starts, rows.terms)
-                f = np.frombuffer(margin, "<f8").copy()
+            for block, labels, look, f in _state(batch):
                 look.add(f, recent, s.step, s.depth)
                 p = 1.0 / (1.0 + np.exp(-f))
-                r = np.rint((rows.labels - p) * 2.0**_POINT)
+                r = np.rint((labels - p) * 2.0**_POINT)
                 h = np.rint(p * (1.0 - p) * 2.0**_POINT)
                 slot = slot_of[look.nodes(splits, level)]
-                slot[~drawn(rows.positions(BLOCK), s.rows, s.seed, 2, number)] = -1
+                numbers = block * BLOCK + np.arange(look.n)
+                slot[~drawn(numbers, s.rows, s.seed, 2, number)] = -1
                 there = slot >= 0
                 for out, weight in zip(totals, (None, r, h)):
                     out += np.bincount(slot[there], None if weight is None else weight[there], len(active))
@@ -235,7 +249,7 @@ def _staged(trees: Sequence[Tree], start: float, s: Settings) -> Callable[[block
         sums = np.zeros((5, len(trees) + 1), np.int64)
         for batch in batches:
             for rows in blocks.unpack(batch):
-                look, f, y = _Lookup(rows.starts, rows.terms), np.full(len(rows), start), rows.labels > 0
+                look, f, y = _Lookup.of(rows.starts, rows.terms), np.full(len(rows), start), rows.labels > 0
                 for k in range(len(trees) + 1):
                     if k:
                         look.add(f, trees[k - 1 : k], s.step, s.depth)
@@ -292,7 +306,7 @@ def fit_trees(packed: DataFrame, features: int, s: Settings, validation: DataFra
                 if state is not None:
                     state.unpersist()
                 stored = len(trees)
-                state = packed.mapInArrow(_margins(trees, start, s), _with_margins(packed))
+                state = packed.mapInArrow(_margins(trees, start, s), _STATE)
                 state = state.persist(StorageLevel.MEMORY_AND_DISK)
             trees.append(grow(state, trees[stored:], features, number, s))
     finally:
@@ -304,10 +318,6 @@ def fit_trees(packed: DataFrame, features: int, s: Settings, validation: DataFra
     return trees, start, best["round"] if best else len(trees)
 
 
-def _with_margins(packed: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema) + ", margins binary"
-
-
 def _settled(validation: DataFrame, trees: Sequence[Tree], start: float, s: Settings, patience: int,
              beta: float) -> bool:
     best = validation_curve(validation, trees, start, s, beta).orderBy("deviance", "round").first()
@@ -392,7 +402,7 @@ class TreeModel(Model, _TreeParams):
 
         def score(starts: np.ndarray, terms: np.ndarray) -> np.ndarray:
             out = np.full(len(starts) - 1, start)
-            _Lookup(starts, terms).add(out, trees, s.step, s.depth)
+            _Lookup.of(starts, terms).add(out, trees, s.step, s.depth)
             return out
 
         return blocks.over_vectors(score)(self.getOrDefault("featuresCol"))
