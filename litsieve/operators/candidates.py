@@ -50,29 +50,37 @@ NO_ID, IN_DB, SKIPPED_TYPE, NEW_TYPE, WANTED = (
 )
 
 
+def key_of(pmid: str = "pmid", article_id: str = "pmcid") -> Column:
+    """What articles are joined by. Those without a PMID match nothing; they are spread by
+    their own ID instead of sending all the NULLs to one task."""
+    return F.coalesce(
+        F.col(pmid).cast("string"), F.concat(F.lit("no pmid "), F.col(article_id).cast("string"))
+    )
+
+
+def decide(known: Column, types: Mapping[str, bool] = ARTICLE_TYPES, pmid: str = "pmid",
+           kind: str = "type") -> Column:
+    """The outcome of an article: known ones are told before the type is looked at."""
+    wanted = [t for t, want in types.items() if want]
+    unwanted = [t for t, want in types.items() if not want]
+    return (
+        F.when(F.col(pmid).isNull(), NO_ID)
+        .when(known, IN_DB)
+        .when(F.col(kind).isin(*wanted), WANTED)
+        .when(F.col(kind).isin(*unwanted), SKIPPED_TYPE)
+        .otherwise(NEW_TYPE)
+    )
+
+
 def with_outcome(articles: DataFrame, known: DataFrame,
                  types: Mapping[str, bool] = ARTICLE_TYPES, pmid: str = "pmid",
                  kind: str = "type", article_id: str = "pmcid") -> DataFrame:
     """Add ``outcome``: an article is known before its type is looked at."""
     known_ids = known.select(F.col(pmid).alias("_known")).distinct()
-    wanted = [t for t, want in types.items() if want]
-    unwanted = [t for t, want in types.items() if not want]
-    # Articles without a PMID match nothing; spread them by their own ID instead
-    # of sending all the NULLs to one task.
-    side = F.coalesce(
-        F.col(pmid).cast("string"), F.concat(F.lit("no pmid "), F.col(article_id).cast("string"))
-    )
     return (
-        articles.withColumn("_key", side)
+        articles.withColumn("_key", key_of(pmid, article_id))
         .join(known_ids.withColumn("_key", F.col("_known").cast("string")), "_key", "left")
-        .withColumn(
-            "outcome",
-            F.when(F.col(pmid).isNull(), NO_ID)
-            .when(F.col("_known").isNotNull(), IN_DB)
-            .when(F.col(kind).isin(*wanted), WANTED)
-            .when(F.col(kind).isin(*unwanted), SKIPPED_TYPE)
-            .otherwise(NEW_TYPE),
-        )
+        .withColumn("outcome", decide(F.col("_known").isNotNull(), types, pmid, kind))
         .drop("_key", "_known")
     )
 

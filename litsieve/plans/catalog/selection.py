@@ -10,6 +10,9 @@ from litsieve.plans import build
 from litsieve.plans.catalog.registry import query
 from litsieve.plans.catalog.views import RULES, Inputs
 from litsieve.rules import GROUP_COLUMNS
+from litsieve.session import scratch_path
+from litsieve.streaming import arrivals, assembly
+from litsieve.streaming.state import append
 
 _SELECTED = "('Chosen', 'Indexed', 'Full-coded')"
 _ANY = "(" + " OR ".join(f"s.{c} IN {_SELECTED}" for c in GROUP_COLUMNS.values()) + ")"
@@ -212,6 +215,19 @@ def _(x: Inputs):
     return texts.assemble_text(x.view("parts"))
 
 
+@query("stream_assemble_text", "SELECT * FROM assembled", {"assembled": _ASSEMBLED})
+def _(x: Inputs):
+    """Parts that arrive in two deliveries, assembled by a stream that is restarted between them."""
+    inbox, out, state = (scratch_path(x.spark, f"parts-{n}") for n in ("in", "out", "state"))
+    parts = x.view("parts").select("refs_key", "part_no", "text_type", "text_part")
+    for delivery in (0, 1):
+        some = parts.filter(F.pmod(F.xxhash64("refs_key", "part_no", "text_type"), F.lit(2)) == delivery)
+        some.write.mode("append").parquet(inbox)
+        arriving = assembly.stream_parts(x.spark, inbox, parts.schema)
+        append(assembly.assemble_stream(arriving), out, state, once=True).awaitTermination()
+    return assembly.latest_texts(x.spark.read.parquet(out))
+
+
 @query(
     "join_ext_text",
     "SELECT r.refs_key, coalesce(e.ext_text, '') AS ext_text FROM refs r LEFT JOIN assembled e ON r.refs_key = e.refs_key",
@@ -345,3 +361,16 @@ OUTCOME_CTE = {
 @query("candidate_outcome", "SELECT pmcid, journal, type, outcome FROM outcomes", OUTCOME_CTE)
 def _(x: Inputs):
     return outcomes(x).select("pmcid", "journal", "type", "outcome")
+
+
+@query("stream_outcome", "SELECT pmcid, journal, type, outcome FROM outcomes", OUTCOME_CTE)
+def _(x: Inputs):
+    """Candidates that arrive in two deliveries, the second of which repeats the first."""
+    inbox, out, state = (scratch_path(x.spark, f"arrivals-{n}") for n in ("in", "out", "state"))
+    found = x.view("candidates").select("pmcid", "pmid", "journal", "type")
+    known = x.table("supplier").select(F.col("s_suppkey").alias("pmid"))
+    for some in (found.filter(F.pmod(F.xxhash64("pmcid"), F.lit(2)) == 0), found):
+        some.write.mode("append").parquet(inbox)
+        arriving = x.spark.readStream.schema(found.schema).parquet(inbox)
+        append(arrivals.outcome_stream(arriving, known, TYPES), out, state, once=True).awaitTermination()
+    return x.spark.read.parquet(out).select("pmcid", "journal", "type", "outcome")
