@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from litsieve.functions.clean import as_text, clean_text, ingest_text, underscore_spaces
+from litsieve.operators.bloom import Bloom
 from litsieve.rules import GROUP_COLUMNS
 from litsieve.schema import CUR_GROUP, PRIM_TRIAGE
 
@@ -21,15 +22,18 @@ def part_rank(text_type: Column, order: tuple[str, ...] = PART_ORDER) -> Column:
 
 
 def assemble_text(parts: DataFrame, order: tuple[str, ...] = PART_ORDER,
-                  keys: DataFrame | None = None) -> DataFrame:
+                  keys: DataFrame | None = None, likely: Bloom | None = None) -> DataFrame:
     """(refs_key, ext_text): the text parts of each article in type order.
 
     Pass ``keys`` to drop the parts of other articles first; stored keys of known
-    size let Spark do that before text is shuffled.
+    size let Spark do that before text is shuffled. If there are too many of them to
+    broadcast, ``likely``, a filter of the keys, drops almost all other parts in the scan.
     The result is one string per article, so an article's parts meet in one row
     by definition; nothing else is collected there.
     """
     rows = parts.filter(F.col("text_part").isNotNull())
+    if likely is not None:
+        rows = likely.keep(rows, "refs_key")
     if keys is not None:
         rows = rows.join(keys.select("refs_key"), "refs_key", "left_semi")
     ordered = F.array_sort(

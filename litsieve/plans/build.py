@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, functions as F
 
 from litsieve.operators import selection, splits, texts
+from litsieve.operators.bloom import bloom_filter
 from litsieve.operators.preprocess import preprocess
 from litsieve.rules import PRODUCTION, Rules
 from litsieve.session import materialise
@@ -17,6 +18,9 @@ BEFORE = ("keep_before", "keep_tumor")
 GROUP_AFTER = ("unselected_after", "selected_after")
 GROUP_BEFORE = ("selected_before",)
 
+#: Keys that Spark broadcasts by itself, at its own threshold of ten megabytes.
+BROADCAST_KEYS = 500_000
+
 DEFAULT_STEPS = ("figureTextLegCloseWords50", "removeURLsCleanStem")
 
 
@@ -25,11 +29,13 @@ def _with_text(records: DataFrame, t: Tables) -> DataFrame:
 
     The records are stored once, so the selection is not repeated to find whose
     parts to read, and their known size lets Spark filter the parts by key
-    before it shuffles any text. The inner join drops articles without text.
+    before it shuffles any text; too many to broadcast, they are put into a Bloom
+    filter for the scan. The inner join drops articles without text.
     """
     records = materialise(records, "records")
     keys = records.select("refs_key").distinct()
-    return records.join(texts.assemble_text(t.parts, keys=keys), "refs_key")
+    likely = bloom_filter(keys, "refs_key") if records.count() > BROADCAST_KEYS else None
+    return records.join(texts.assemble_text(t.parts, keys=keys, likely=likely), "refs_key")
 
 
 def triage_subset(t: Tables, subset: str | None, rules: Rules = PRODUCTION, base: str = "triage",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from litsieve.plans.catalog.registry import query
-from litsieve.plans.catalog.views import Inputs
+from litsieve.plans.catalog.views import RULES, Inputs
+from litsieve.operators import blocks, selection
 from litsieve.schema import CLASSIFIED_REF
 from litsieve.session import scratch_path
-from litsieve.sources import archive, lists, predictions, samples
+from litsieve.sources import archive, article_files, lists, ordered_tsv, predictions, sample_files, samples
 
 _LABEL = "CASE WHEN quality = 1 THEN 'yes' ELSE 'no' END"
 
@@ -23,6 +24,20 @@ def _(x: Inputs):
     return samples.read_samples(x.spark, path)
 
 
+@query("sample_file_roundtrip", f"""
+    SELECT {_LABEL} AS "knownClassName", "ID", journal, title, abstract,
+      concat("extractedText", CASE WHEN CAST("ID" AS BIGINT) % 3 = 0 THEN ';' ELSE '' END) AS "extractedText"
+    FROM samples""")
+def _(x: Inputs):
+    """Written as the parts of one sample file, some texts ending in a semicolon, and read in small ranges."""
+    path = scratch_path(x.spark, "sample-file")
+    labelled = x.view("samples").withColumn("knownClassName", F.expr(_LABEL)).withColumn(
+        "extractedText", F.concat("extractedText", F.expr("CASE WHEN CAST(ID AS BIGINT) % 3 = 0 THEN ';' ELSE '' END"))
+    )
+    sample_files.write_sample_file(labelled, path, CLASSIFIED_REF, {"host": "none"})
+    return sample_files.read_sample_file(x.spark, path, split_bytes=1 << 18)
+
+
 _ENDS = "replace(text, ' wild type ', ';;')"
 
 
@@ -165,3 +180,30 @@ def _(x: Inputs):
     texts = x.view("clean").select("doc_id", F.concat(F.lit("J "), "journal").alias("journal"), "text")
     archive.write_by_journal(texts, path)
     return x.spark.read.parquet(path)
+
+
+@query("article_texts", "SELECT replace(concat('J ', journal), ' ', '_') AS journal, CAST(doc_id AS STRING) AS article, text FROM clean")
+def _(x: Inputs):
+    """One file per article, below one folder per journal, read back by their names."""
+    path = scratch_path(x.spark, "article-texts")
+    texts = x.view("clean").select("doc_id", F.concat(F.lit("J "), "journal").alias("journal"), "text")
+    article_files.write_article_files(texts, path, "doc_id", "text")
+    return article_files.read_article_files(x.spark, path)
+
+
+@query("export_tsv", """
+    SELECT row_number() OVER (ORDER BY journal, pubmed, haspdf, year) AS line, pubmed, CAST(haspdf AS STRING) AS haspdf,
+      CAST(year AS STRING) AS year, journal
+    FROM (SELECT a.accid AS pubmed, p.haspdf, r.year, r.journal
+      FROM refs r JOIN parts p ON r.refs_key = p.refs_key
+        JOIN acc a ON a.object_key = r.refs_key AND a.logicaldb_key = 29 AND a.object_type_key = 1
+      WHERE r.year >= 1999) e""")
+def _(x: Inputs):
+    """The ID export as one ordered table in parts, its lines numbered as they lie in the files."""
+    path = scratch_path(x.spark, "ids")
+    ordered_tsv.write_ordered_tsv(
+        selection.known_ids(x.tables(), RULES, 1999), path, ["journal", "pubmed", "haspdf", "year"]
+    )
+    return blocks.numbered(ordered_tsv.read_ordered_tsv(x.spark, path), "line").select(
+        (F.col("position") + 1).alias("line"), "pubmed", "haspdf", "year", "journal"
+    )

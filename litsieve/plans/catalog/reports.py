@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from litsieve.operators import candidates, reports, splits
+from litsieve.operators import candidates, reports, running, splits
 from litsieve.plans.backfill import backfill
 from litsieve.plans.catalog.registry import query
 from litsieve.plans.catalog.selection import OUTCOME_CTE, TYPES, outcomes
@@ -333,3 +333,20 @@ def _(x: Inputs):
        _PICK_CTES)
 def _(x: Inputs):
     return candidates.main_file_log(x.view("files"))
+
+
+@query("running_largest", """
+    SELECT archive_id, pos, size, max(size) OVER (PARTITION BY archive_id ORDER BY pos) AS largest FROM files""")
+def _(x: Inputs):
+    """The largest file so far of every archive's listing, in order."""
+    rows = running.running(x.view("files").select("archive_id", "pos", "size"), "archive_id", ["pos"], "size", "largest")
+    return rows.select("archive_id", "pos", "size", "largest")
+
+
+@query("running_total", """
+    SELECT archive_id, pos, sum(size) OVER (ORDER BY archive_id, pos) AS total FROM files""")
+def _(x: Inputs):
+    """All archives as one listing: a single group that no task sees whole."""
+    rows = x.view("files").select("archive_id", "pos", "size").withColumn("one", F.lit(1))
+    rows = running.running(rows, "one", ["archive_id", "pos"], "size", "total", "sum")
+    return rows.select("archive_id", "pos", "total")

@@ -48,25 +48,83 @@ def from_catalog(spark: SparkSession, database: str | None = None) -> Tables:
     return Tables(**{n: spark.table(prefix + n) for n in TABLE_NAMES})
 
 
-def from_jdbc(spark: SparkSession, url: str, key_range: tuple[int, int], partitions: int,
+# The column each table is joined to the articles by.
+ARTICLE_KEYS = {
+    "refs": "refs_key", "parts": "refs_key", "wf_status": "refs_key", "tags": "refs_key",
+    "status": "refs_key", "acc": "object_key",
+}
+
+
+def store_bucketed(t: Tables, database: str, buckets: int, mode: str = "errorifexists") -> None:
+    """Save the tables so that all joins on the article find their rows in place.
+
+    Every table of the articles is cut into the same buckets by its article key and sorted
+    by it; read them with :func:`from_catalog`. The terms are no table of the articles.
+    """
+    for name in TABLE_NAMES:
+        df = getattr(t, name)
+        key = ARTICLE_KEYS.get(name)
+        if key is None:
+            df.write.mode(mode).saveAsTable(f"{database}.{name}")
+        else:
+            # one task per bucket, so that a bucket is one sorted file
+            df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode(mode).saveAsTable(
+                f"{database}.{name}"
+            )
+
+
+def key_cuts(keys: DataFrame, key: str, partitions: int, accuracy: int = 10_000) -> list[int]:
+    """Ascending keys that cut the rows into ranges of about the same size.
+
+    They are quantiles of the keys as they are, from a sketch, so gaps and crowds of
+    numbers make no range large. A key that holds several shares of the rows is one range.
+    """
+    shares = [i / partitions for i in range(1, partitions)]
+    if not shares:
+        return []
+    got = keys.agg(F.percentile_approx(key, shares, accuracy)).first()[0]
+    return sorted(set(got or []))
+
+
+def range_predicates(key: str, cuts: list[int]) -> list[str]:
+    """SQL conditions of the ranges between the cuts, which together hold every row once."""
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{key} > {a} AND {key} <= {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{key} <= {cuts[0]} OR {key} IS NULL", *inner, f"{key} > {cuts[-1]}"]
+
+
+def from_jdbc(spark: SparkSession, url: str, key_range: tuple[int, int] | None = None, partitions: int = 200,
               properties: dict[str, str] | None = None,
               table_names: dict[str, str] | None = None) -> Tables:
     """Scan over JDBC in key ranges, so that no single connection reads a whole table.
 
-    ``key_range`` only places the cuts: rows outside it go to the end ranges.
-    ``table_names`` maps a table to the relation or view with the columns above.
+    Ranges are cut at quantiles of each table's keys, which are read first, in ``partitions``
+    classes of remainders. ``key_range`` places even cuts instead; rows outside it go to the end
+    ranges. ``table_names`` maps a table to the relation or view with the columns above.
     """
     key = dict.fromkeys(TABLE_NAMES, "refs_key") | {"terms": "term_key", "acc": "object_key"}
+    properties = properties or {}
+
+    def by_quantiles(relation: str, column: str) -> DataFrame:
+        only_key = f"(SELECT {column} FROM {relation}) k"
+        classes = [f"MOD(ABS({column}), {partitions}) = {i}" for i in range(partitions)]
+        keys = spark.read.jdbc(url, only_key, predicates=classes, properties=properties)
+        cuts = key_cuts(keys, column, partitions)
+        return spark.read.jdbc(url, relation, predicates=range_predicates(column, cuts), properties=properties)
 
     def scan(name: str) -> DataFrame:
+        relation = (table_names or {}).get(name, name)
+        if key_range is None:
+            return by_quantiles(relation, key[name])
         reader = spark.read.format("jdbc").options(
             url=url,
-            dbtable=(table_names or {}).get(name, name),
+            dbtable=relation,
             partitionColumn=key[name],
             lowerBound=str(key_range[0]),
             upperBound=str(key_range[1]),
             numPartitions=str(partitions),
         )
-        return reader.options(**(properties or {})).load()
+        return reader.options(**properties).load()
 
     return Tables(**{n: scan(n) for n in TABLE_NAMES})

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("litsieve-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="litsieve-warehouse-"))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.log.level", "ERROR")
