@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from litsieve.functions import clean, figures, rewrite, stem
 from litsieve.operators import preprocess as pre
 from litsieve.plans.catalog.registry import query
+from litsieve.plans.catalog.stemming import stem_ctes
 from litsieve.plans.catalog.views import Inputs
 from litsieve.streaming import preprocess as stream
 from litsieve.session import scratch_path
@@ -248,12 +249,30 @@ def _(x: Inputs):
     return samples.select("ID", rewrite.clean_without_stem(pre.document(samples)).alias("text"))
 
 
-@query("clean_stem")
+_STEM_CTES = {
+    "fields": f"SELECT f.* FROM (" + " UNION ALL ".join(
+        f"""SELECT "ID", '{f}' AS field, regexp_split_to_array("{f}", '{_URL}') AS u FROM samples""" for f in _FIELDS) + ") f",
+    "pieces": f"""SELECT "ID", field, i, {_rewrite_sql("piece")} AS r FROM
+        (SELECT "ID", field, unnest(range(len(u))) AS i, unnest(u) AS piece FROM fields) a""",
+    "words": r"""SELECT "ID", field, i, unnest(range(len(t))) AS j, unnest(t) AS word FROM
+        (SELECT "ID", field, i, regexp_extract_all(lower(r), '\b[a-z_]\w+\b') AS t FROM pieces) a""",
+} | stem_ctes("words") | {
+    "stemmed": """SELECT w."ID", w.field, string_agg(' ' || s.stem, '' ORDER BY i, j) AS text
+        FROM words w JOIN stems s ON w.word = s.word GROUP BY w."ID", w.field""",
+}
+
+
+@query("clean_stem", "SELECT s.\"ID\", " + ", ".join(
+    f"""coalesce((SELECT t.text FROM stemmed t WHERE t."ID" = s."ID" AND t.field = '{f}'), '') AS "{f}\"""" for f in _FIELDS
+) + " FROM samples s", _STEM_CTES)
 def _(x: Inputs):
     return pre.preprocess(x.view("samples"), ["removeURLsCleanStem"]).select("ID", *_FIELDS)
 
 
-@query("stem_vocab")
+@query("stem_vocab", """
+    SELECT s.word, s.stem, count(*) AS n_texts FROM vocabulary v JOIN stems s ON v.word = s.word GROUP BY s.word, s.stem""",
+       {"vocabulary": r"""SELECT unnest(list_distinct(regexp_extract_all(lower(text), '\b[a-z_]\w+\b'))) AS word FROM clean"""}
+       | stem_ctes("vocabulary"))
 def _(x: Inputs):
     """Distinct words of the corpus with their stem and number of texts."""
     words = F.array_distinct(F.split(F.trim(clean.clean_tokens(F.col("text"))), " "))

@@ -1,6 +1,13 @@
 """Stems of the published algorithm's examples and of known feature names."""
 
+import random
+
+import duckdb
+import pandas as pd
+
+from litsieve.functions import stem as rules
 from litsieve.functions.stem import stem, stem_words
+from litsieve.plans.catalog.stemming import stem_ctes
 
 STEMS = {
     "abbreviation": "abbrevi", "aberrant": "aberr", "ability": "abil", "ablation": "ablat",
@@ -27,3 +34,21 @@ def test_known_stems():
 
 def test_over_texts(one):
     assert one([" my titles", "", None], stem_words) == [" my titl", "", None]
+
+
+def test_sql_has_the_same_stems():
+    """Known words, and beginnings, vowels, doubles and endings put together at random."""
+    rnd = random.Random(8)
+    starts = ["", "y", "gener", "commun", "arsen", "un", "st", "be", "cry", "sa", "oo", "qu", "e1_", "_a", "xyz", "hop", "fall", "lov"]
+    ends = [*rules._DERIVATION, *rules._REDUCTION, *rules._REMOVAL, "s", "es", "ies", "ied", "sses", "us", "ss", "ed", "edly",
+            "ing", "ingly", "eed", "eedly", "at", "bl", "iz", "tt", "y", "e", "ll", "ogi", "logi", "ative", ""]
+    words = [*STEMS, *rules._WHOLE_WORDS, *rules._KEPT_AFTER_PLURAL, "a", "by", "eed", "ied", "ies", "sses", "ing"]
+    for _ in range(20_000):
+        middle = "".join(rnd.choices("aeiouybcdlmnrstwxz", k=rnd.randrange(4)))
+        words.append(rnd.choice(starts) + middle + "".join(rnd.choices(ends, k=rnd.randint(1, 3))))
+    words = sorted({w for w in words if w})
+    con = duckdb.connect()
+    con.register("given", pd.DataFrame({"word": words}))
+    ctes = ", ".join(f"{n} AS ({q})" for n, q in stem_ctes("given").items())
+    got = dict(con.execute(f"WITH {ctes} SELECT word, stem FROM stems").fetchall())
+    assert {w: (got[w], stem(w)) for w in words if got[w] != stem(w)} == {}
