@@ -76,14 +76,21 @@ def _offset(source: Column) -> Column:
     return F.conv(digest, 16, 10).cast("bigint") / F.lit(float(16**8))
 
 
-def drawn(docs: DataFrame, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """Every row as ``doc`` with size, source, source_size, target and copies."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """Every row as ``doc`` with its size, source and place in the order."""
     rows = common.packed(docs)
     text, ident = F.col("doc").getField("text"), F.col("doc").getField("doc_id")
     name = F.concat(F.coalesce(ident.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
     rows = rows.withColumns({"size": words(text), "name": name, "source": F.col("doc").getField("source")})
     bucket, place = _place(F.col("size"), F.col("name"))
-    rows = rows.select("doc", "size", "source", bucket.alias("bucket"), place.alias("place"))
+    return rows.select(
+        "doc", ident.alias("doc_id"), "size", "source", bucket.alias("bucket"), place.alias("place")
+    )
+
+
+def drawn(rows: DataFrame, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """Rows (doc_id, size, source, bucket, place and more) with source_size, target and copies."""
+    more = [c for c in rows.columns if c not in ("size", "source", "bucket", "place")]
     # a source of NULL is told apart by its own column in every grouping and join
     rows = rows.withColumn("nameless", F.col("source").isNull())
 
@@ -100,7 +107,7 @@ def drawn(docs: DataFrame, share: float = SHARE, most: float = MOST) -> DataFram
     starts = starts.alias("s").join(goals.alias("g"), same).select(
         F.col("s.source").alias("source"), "bucket", "start", "source_size", "target", "rate", "offset"
     )
-    within = Window.partitionBy("source", "bucket").orderBy("place", F.col("doc").getField("doc_id"))
+    within = Window.partitionBy("source", "bucket").orderBy("place", "doc_id")
     ranked = rows.drop("nameless").withColumn("rank", F.row_number().over(within)).alias("r")
     found = ranked.join(
         starts.alias("b"),
@@ -108,20 +115,29 @@ def drawn(docs: DataFrame, share: float = SHARE, most: float = MOST) -> DataFram
     )
     upper = F.floor(F.col("rate") * (F.col("start") + F.col("rank")) + F.col("offset"))
     lower = F.floor(F.col("rate") * (F.col("start") + F.col("rank") - 1) + F.col("offset"))
-    return found.select("doc", "size", F.col("r.source").alias("source"), "source_size", "target", (upper - lower).alias("copies"))
+    return found.select(*more, "size", F.col("r.source").alias("source"), "source_size", "target", (upper - lower).alias("copies"))
 
 
 def taken(docs: DataFrame) -> DataFrame:
-    """Per document row: doc_id, size, source_size, target and the words taken."""
-    return drawn(docs).select(
-        F.col("doc").getField("doc_id").alias("doc_id"), "size", "source_size", "target",
-        (F.col("copies") * F.col("size")).alias("taken"),
+    """Per document row: doc_id, size, source_size, target and the words taken.
+
+    Texts are read once: what is drawn from are stored rows of a few numbers.
+    """
+    rows = session.materialise(_rows(docs).drop("doc"), "sized")
+    return drawn(rows).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with ``copy`` from 1 on."""
-    rows = drawn(docs).filter("copies > 0")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    columns = [F.col("doc").getField(c).alias(c) for c in docs.columns if c != "copy"]
-    return rows.select(*columns, "copy")
+def mixed(docs: DataFrame, number: str = "copy") -> DataFrame:
+    """The mix itself: each document as often as it is taken, numbered from 1 on.
+
+    A document's own column named like ``number`` is kept, and the number is then named
+    with underscores before it.
+    """
+    while number in docs.columns:
+        number = "_" + number
+    rows = drawn(_rows(docs)).filter("copies > 0")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    rows = rows.select("doc", copies.alias("copy"))
+    return rows.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns], F.col("copy").alias(number))

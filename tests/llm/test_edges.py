@@ -91,3 +91,10 @@ def test_stages(spark, odd, none, judged, items, tmp_path, name, stage):
 def test_spelling(odd, none):
     assert spelling.grouped(odd).collect() == []  # no word of six letters is met five times
     assert spelling.grouped(none).collect() == []
+
+
+def test_mix_keeps_a_column_named_copy(odd):
+    got = mixing.mixed(odd)
+    assert got.columns == [*odd.columns, "_copy"]
+    assert {r["copy"] for r in got.select("copy").collect()} == {"own copy"}
+    assert mixing.mixed(odd.drop("copy")).columns[-1] == "copy"
