@@ -6,8 +6,10 @@ words to the signs - and note for every output character which source characters
 from. Identifiers found in the rewritten text are mapped back to source spans, and those
 that reach beyond every base span of their kind are added.
 
+"at" before a domain with plain dots stays as it is, since most of such places are no address.
 All scans are linear in the length of a text. Null texts count as empty; repeated rows are
-each returned. Offsets are code points, ends exclusive.
+each returned; an empty table gives no rows; other columns are kept by the mask and ignored
+by the scan, whatever their names. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -111,14 +113,22 @@ _NUMERAL = f"(?:{'|'.join(_SPELLED)}|[0-9])"
 _SPELLING = re.compile(rf"(?i)(?<![A-Za-z0-9]){_NUMERAL}(?:[\x20.-]{{1,3}}{_NUMERAL}){{4,}}(?![A-Za-z0-9])")
 _SPOKEN = re.compile(rf"(?i){_NUMERAL}")
 
+_GAP = "[\\x20\\t\\xA0]"  # blanks within a line
+_DOT_SIGN = rf"(?:{_GAP}{{0,3}}[\[({{<]{_GAP}{{0,3}}(?:dot|\.){_GAP}{{0,3}}[\])}}>]{_GAP}{{0,3}}|{_GAP}{{1,3}}dot{_GAP}{{1,3}})"
+#: A bare "at" is a sign only before a domain whose last dot is spelled; no domain is an article.
 _AT = re.compile(
-    r"(?i)(?<=[A-Za-z0-9_])(?:\x20?[\[({<]\x20?(?:at|@)\x20?[\])}>]\x20?|\x20@\x20|\x20at\x20"
-    r"(?=[A-Za-z0-9-]+(?:\x20dot\x20|\x20?[\[({<]\x20?(?:dot|\.)\x20?[\])}>]\x20?)))(?=[A-Za-z0-9])"
+    rf"(?i)(?<=[A-Za-z0-9_])(?:{_GAP}{{0,3}}[\[({{<]{_GAP}{{0,3}}(?:at|@){_GAP}{{0,3}}[\])}}>]{_GAP}{{0,3}}"
+    rf"|{_GAP}{{1,3}}@{_GAP}{{1,3}}|{_GAP}{{1,3}}at{_GAP}{{1,3}}(?!(?:the|an?|this|that|each|every){_GAP})(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*{_DOT_SIGN}))(?=[A-Za-z0-9])"
 )
-_DOT = re.compile(
-    r"(?i)(?<=[A-Za-z0-9])(?:\x20?[\[({<]\x20?(?:dot|\.)\x20?[\])}>]\x20?|\x20dot\x20)(?=[A-Za-z0-9])"
+_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9]){_DOT_SIGN}(?=[A-Za-z0-9])")
+_HINT = re.compile(rf"(?i)(?:[\[({{<]|{_GAP})(?:at|@|dot)(?:[\])}}>]|{_GAP})|[\[({{<]{_GAP}{{0,3}}(?:at|@|dot|\.){_GAP}{{0,3}}[\])}}>]")
+#: Character references of the signs.
+_REFERENCE = re.compile("(?i)&(?:#0*64|#x0*40|commat);|&(?:#0*46|#x0*2e|period);|&(?:#0*43|#x0*2b|plus);")
+_REFERRED = {"64": "@", "40": "@", "commat": "@", "46": ".", "2e": ".", "period": ".", "43": "+", "2b": "+", "plus": "+"}
+#: The sign of a phone number that is spelled out.
+_PLUS = re.compile(
+    rf"(?i)(?<![A-Za-z0-9])plus{_GAP}{{1,3}}(?={_NUMERAL}(?:[\x20.-]{{1,3}}{_NUMERAL}){{6}})"
 )
-_HINT = re.compile(r"(?i)[\[({<\x20](?:at|@|dot)[\])}>\x20]|[\[({<]\x20?(?:at|@|dot|\.)\x20?[\])}>]")
 
 
 class _Tape:
@@ -161,9 +171,25 @@ class _Tape:
         )
 
 
+def _address(run: str) -> bool:
+    """Whether spelled digits are four numbers up to 255 with dots between them."""
+    numbers = ["".join(_SPELLED.get(w.lower(), w) for w in _SPOKEN.findall(p)) for p in run.split(".")]
+    return len(numbers) == 4 and all(0 < len(n) <= 3 and int(n) <= 255 for n in numbers)
+
+
 def _digits(m: re.Match) -> Iterator[tuple[str, int, int]]:
+    """The digits of a run; the dots of an address stay."""
+    address, last = _address(m.group()), m.end()
     for w in _SPOKEN.finditer(m.string, m.start(), m.end()):
+        if address and (dot := m.string.find(".", last, w.start())) >= 0:
+            yield ".", dot, dot + 1
         yield _SPELLED.get(w.group().lower(), w.group()), w.start(), w.end()
+        last = w.end()
+
+
+def _referred(m: re.Match) -> Iterator[tuple[str, int, int]]:
+    name = m.group()[1:-1].lower().lstrip("#x").lstrip("0")
+    yield _REFERRED[name], m.start(), m.end()
 
 
 def _sign(sign: str):
@@ -173,9 +199,13 @@ def _sign(sign: str):
 def deobfuscated(text: str) -> _Tape | None:
     """The text after all transducers; None if none of them has anything to do."""
     tape = _Tape(text).fold()
+    if "&" in tape.text:
+        tape = tape.rewrite(_REFERENCE, _referred)
     if _HINT.search(tape.text):
         tape = tape.rewrite(_AT, _sign("@"))
         tape = tape.rewrite(_DOT, _sign("."))
+    if "plus" in tape.text.lower():
+        tape = tape.rewrite(_PLUS, _sign("+"))
     tape = tape.rewrite(_SPELLING, _digits)
     return None if tape.text == text else tape
 

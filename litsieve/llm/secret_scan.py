@@ -9,8 +9,10 @@ numbers; ordinary are words that hold no base secret, of all documents. Only the
 tables, at most ``_SIZE`` squared cells each whatever the input, reach the driver; the
 ratios go back as one array literal.
 
-Null texts count as empty; repeated rows are each returned. Offsets are code points, ends
-exclusive; the span of an assignment is all that its pattern matched.
+Null texts count as empty; repeated rows are each returned; an empty table gives no rows, and
+other columns, whatever their names, are ignored. Offsets are code points, ends exclusive; the
+span of an assignment is all that its pattern matched. Texts of any length are scanned whole:
+offsets of the matches take time in proportion to their number.
 """
 
 from __future__ import annotations
@@ -41,13 +43,32 @@ DIGESTS = 4_000
 CUT = 0.35
 
 _SIZE = 128
+#: Matches whose offsets are summed in one piece.
+_PIECE = 128
+
+
+def _followed(steps: Column, first: Column) -> Column:
+    """(start, end, hit) of the steps (gap, len, hit) of one piece, counted from ``first``.
+
+    The array grows by copying, so a piece must be short.
+    """
+    empty = F.array().cast("array<struct<start:bigint,end:bigint,hit:string>>")
+
+    def follow(done: Column, step: Column) -> Column:
+        start = F.coalesce(F.get(done, F.size(done) - 1)["end"], first) + step["gap"]
+        one = F.struct(start.alias("start"), (start + step["len"]).alias("end"), step["hit"].alias("hit"))
+        return F.concat(done, F.array(one))
+
+    return F.aggregate(steps, empty, follow)
 
 
 def _runs(df: DataFrame, name: str, pattern: str, hint: Column) -> DataFrame:
     """Add ``name``: (start, end, text) of the matches of a pattern, a group 1 kept as value.
 
     Pieces between matches and matches alternate, so starts are running sums of lengths.
-    Texts without a match, by far the most, are not cut.
+    They are summed in two levels, by pieces of ``_PIECE`` matches and within each, so that
+    a text with a million matches is no more than a long one. Texts without a match, by far
+    the most, are not cut.
     """
     df = df.withColumn("hits", F.when(hint, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
     some = F.size("hits") > 0
@@ -56,17 +77,22 @@ def _runs(df: DataFrame, name: str, pattern: str, hint: Column) -> DataFrame:
         "hits", F.slice("gaps", F.lit(1), F.size("hits")),
         lambda h, g: F.struct(F.char_length(g).alias("gap"), F.char_length(h).alias("len"), h.alias("hit")),
     )
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,hit:string>>")
-
-    def follow(done: Column, step: Column) -> Column:
-        at = F.coalesce(F.get(done, F.size(done) - 1)["end"], F.lit(0).cast("bigint"))
-        start = at + step["gap"]
-        one = F.struct(start.alias("start"), (start + step["len"]).alias("end"), step["hit"].alias("hit"))
-        return F.concat(done, F.array(one))
-
     df = df.withColumn("steps", steps)
-    runs = F.when(some, F.aggregate("steps", empty, follow)).otherwise(empty)
-    return df.withColumn(name, runs).drop("hits", "gaps", "steps")
+    numbers = F.sequence(F.lit(0), F.floor((F.size("steps") - 1) / _PIECE).cast("int"))
+    df = df.withColumn(
+        "pieces", F.when(some, F.transform(numbers, lambda i: F.slice("steps", i * _PIECE + 1, F.lit(_PIECE))))
+    )
+    zero = F.lit(0).cast("bigint")
+    width = lambda piece: F.aggregate(piece, zero, lambda n, step: n + step["gap"] + step["len"])
+    last = lambda done: F.get(done, F.size(done) - 1)
+    df = df.withColumn("widths", F.transform("pieces", width))
+    df = df.withColumn(
+        "firsts", F.aggregate("widths", F.array(zero), lambda done, w: F.concat(done, F.array(last(done) + w)))
+    )
+    runs = F.flatten(F.transform("pieces", lambda piece, i: _followed(piece, F.get("firsts", i))))
+    empty = F.array().cast("array<struct<start:bigint,end:bigint,hit:string>>")
+    df = df.withColumn(name, F.when(some, runs).otherwise(empty))
+    return df.drop("hits", "gaps", "steps", "pieces", "widths", "firsts")
 
 
 def base_spans(df: DataFrame) -> DataFrame:
