@@ -11,6 +11,9 @@ _MARKUP = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"""(?:^|[\s"'])(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_UNSEEN = re.compile(
+    r"""(?:^|[\s"'])(?:hidden(?=[\s=/>]|$)|style\s*=\s*(?:"[^"]*|'[^']*|[^\s"']*)display\s*:\s*none)""", re.I
+)
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
 # How elements of the markup behave.
@@ -75,18 +78,23 @@ def parse(page: str) -> Tree:
     root = tree.add(-1, "html")
     stack, open_tags = [root], {"html": 1}
     hidden = 0  # open elements whose content is not shown
+    unseen: set[int] = set()  # those of them that say so in an attribute
     block, at, end = 0, 0, len(page)
 
     def close(to: int) -> None:
         nonlocal hidden, block
         while len(stack) > to:
-            tag = tree.tag[stack.pop()]
+            node = stack.pop()
+            tag = tree.tag[node]
             open_tags[tag] -= 1
-            hidden -= tag in HIDDEN
+            hidden -= tag in HIDDEN or node in unseen
             block += tag not in INLINE
 
     def put(text: str) -> None:
         if text and not hidden:
+            if len(stack) == 1 and text.strip():  # text outside of any element is the body's
+                stack.append(tree.add(root, "body", block=block))
+                open_tags["body"] = open_tags.get("body", 0) + 1
             tree.add(stack[-1], "#text", text=html.unescape(text), block=block)
 
     while at < end:
@@ -139,7 +147,9 @@ def parse(page: str) -> Tree:
         words, label = _class_words(m[3]) if m[3] else ((), "")
         stack.append(tree.add(stack[-1], tag, words, label, block=block))
         open_tags[tag] = open_tags.get(tag, 0) + 1
-        hidden += tag in HIDDEN
+        if m[3] and _UNSEEN.search(m[3]):
+            unseen.add(stack[-1])
+        hidden += tag in HIDDEN or stack[-1] in unseen
         if m[3] and m[3].rstrip().endswith("/") and tag in ("svg", "path"):
             close(len(stack) - 1)
     return tree

@@ -3,6 +3,10 @@
 Each page combines a container, a set of page parts and a run of article parts; a part is
 labelled by the attribute ``data-label``, which the model does not see. Texts are filler of
 drawn length, so that the model learns from structure, names and lengths, not from words.
+
+A share of the pages is loose: the article lies in the body itself or in an element whose tag
+and names say nothing or something foreign, as bare lines, in a cell of a layout table beside
+the menu's, or is the whole page.
 """
 
 from __future__ import annotations
@@ -17,6 +21,12 @@ _CONTAINERS = (
     '<article class="post"{}>', "<section{}>",
 )
 
+# names that tell nothing about what an element holds
+_FOREIGN = (
+    'class="prose"', 'id="right"', 'id="left"', 'class="col-8"', 'class="inner"', 'class="c-1x"', 'class="comment-guide"',
+    'id="wrap"', 'class="blk"', 'class="header-free text"', 'style="width:60%"', "",
+)
+
 # page parts that are no content: opening, inner element, closing, least and most words
 _PARTS = (
     ("<nav>", "links", "</nav>"), ('<div class="menu">', "links", "</div>"), ('<ul class="breadcrumb">', "items", "</ul>"),
@@ -113,6 +123,33 @@ class _Writer:
         return f"<html><head><title>t</title></head><body>{before}{main}{after}</body></html>"
 
 
-def pages(count: int = 400, seed: int = 11) -> list[str]:
-    """``count`` labelled pages, the same for the same seed."""
-    return [_Writer(seed * 100_003 + i).page() for i in range(count)]
+    def lines(self) -> str:
+        """Bare text with line breaks."""
+        return "".join(f"{self.text(8, 60)}<br>" * self.draw.randint(1, 2) for _ in range(self.draw.randint(1, 8)))
+
+    def loose_page(self) -> str:
+        draw = self.draw
+        body = "".join(f"<p>{self.text(10, 60)}</p>" for _ in range(draw.randint(1, 8)))
+        body = draw.choice([body, body, self.lines(), self.article(), self.text(15, 200)])
+        kind = draw.randrange(6)
+        if kind == 0:
+            main = body
+        elif kind == 1:
+            main = f"<center><font>{body}</font></center>"
+        elif kind == 2:
+            menu = "".join(f"{self.link()}<br>" for _ in range(draw.randint(2, 8)))
+            cells = [f'<td data-label="drop">{menu}</td>', f"<td>{body}</td>"]
+            main = f"<table><tr>{''.join(cells if draw.random() < 0.7 else cells[::-1])}</tr></table>"
+        elif kind == 3:
+            main = f"<div><div {draw.choice(_FOREIGN)}>{body}</div></div>"
+        else:
+            main = f"<div {draw.choice(_FOREIGN)}>{body}</div>"
+        before = "".join(self.part() for _ in range(draw.choice([0, 0, 1, 2])))
+        after = "".join(self.part() for _ in range(draw.choice([0, 0, 1, 2])))
+        return f'<html><body data-label="keep">{before}{main}{after}</body></html>'
+
+
+def pages(count: int = 400, loose: int = 320, seed: int = 11) -> list[str]:
+    """``count`` labelled pages and ``loose`` loose ones, the same for the same seed."""
+    plain = [_Writer(seed * 100_003 + i).page() for i in range(count)]
+    return plain + [_Writer(seed * 300_007 + i).loose_page() for i in range(loose)]
