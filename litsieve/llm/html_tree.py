@@ -90,11 +90,15 @@ def parse(page: str) -> Tree:
             hidden -= tag in HIDDEN or node in unseen
             block += tag not in INLINE
 
+    def open_body() -> None:
+        """What stands outside of any element is the body's."""
+        stack.append(tree.add(root, "body", block=block))
+        open_tags["body"] = open_tags.get("body", 0) + 1
+
     def put(text: str) -> None:
         if text and not hidden:
-            if len(stack) == 1 and text.strip():  # text outside of any element is the body's
-                stack.append(tree.add(root, "body", block=block))
-                open_tags["body"] = open_tags.get("body", 0) + 1
+            if len(stack) == 1 and text.strip():
+                open_body()
             tree.add(stack[-1], "#text", text=html.unescape(text), block=block)
 
     while at < end:
@@ -144,6 +148,8 @@ def parse(page: str) -> Tree:
                     close(depth)
         if tag in VOID:
             continue
+        if len(stack) == 1 and tag not in ("head", "body"):
+            open_body()
         words, label = _class_words(m[3]) if m[3] else ((), "")
         stack.append(tree.add(stack[-1], tag, words, label, block=block))
         open_tags[tag] = open_tags.get(tag, 0) + 1
