@@ -9,12 +9,14 @@ On one diagonal (document offset less item offset) a value of the item stands fo
 value of the document within its type. Windows that hold a value which stands for several
 do not count, nor does a diagonal of which they are half or more; windows whose slots are
 the item's own count in any case. A document is contaminated by an item if the windows
-that count are at least ``COVER`` of the item's windows.
+that count are at least ``COVER`` of the item's windows and one of its matched windows
+tells something: it is held by at most ``STOCK`` templates, or the item has none held by
+fewer.
 
 The documents are read once: windows are unrolled and probed inside one stage and only
-matches leave it. The benchmark is broadcast if its windows, which are counted first, are
-at most ``BROADCAST``; a larger one is joined by a shuffle whose hot keys adaptive
-execution splits.
+matches leave it, which are stored. The benchmark is broadcast if its windows, which are
+counted first, are at most ``BROADCAST``; a larger one is joined by a shuffle whose hot
+keys adaptive execution splits.
 
 Null and empty texts match nothing. Items shorter than a window are searched by windows of
 half its length. Items shorter than that, or without a window of which at least half is
@@ -31,10 +33,12 @@ from pyspark.sql import functions as F
 from litsieve import session
 from litsieve.llm import common
 
-#: Words of a window; a power of two, since hashes of windows are built by doubling.
+#: Words of a window.
 WINDOW = 8
 #: Share of an item's windows that makes a document contaminated.
 COVER = 0.5
+#: Templates that may hold a window which still tells something of each.
+STOCK = 10
 #: Rows that are broadcast at most, benchmark windows or digests: about 50 MB.
 BROADCAST = 200_000
 
@@ -53,15 +57,31 @@ UNITS = (
     "days weeks months years dollars euros cents percent degrees mph kmh watts volts"
 ).split()
 
+ONES = "one two three four five six seven eight nine".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+
+#: Marks around a name, and around any other capitalised word, while forms are made.
+_NAME_OPEN, _OPEN, _CLOSE = "\uE001", "\uE003", "\uE004"
 _WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
+#: The same without the marks.
+_OWN = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\uE001\uE003\uE004]"
 _CAPITAL = "[A-Z\\u00C0-\\u00D6\\u00D8-\\u00DE]"
+_CAPITALISED = f"{_CAPITAL}(?<!{_WORD}{_CAPITAL})(?:{_WORD}|['-])*"
 #: A capitalised word is a name unless a sentence may begin with it.
-_NAMES = f"{_CAPITAL}(?<=(?:{_WORD}|[,;])\\x20{_CAPITAL})(?:{_WORD}|['-])*"
-_CAPITALISED = f"(?<!{_WORD}){_CAPITAL}(?:{_WORD}|['-])*"
+_NAMES = f"{_OPEN}(?<=(?:{_OWN}{_CLOSE}?|[,;])\\x20{_OPEN})"
 _NUMBERS = "[0-9]+(?:[.,:/][0-9]+)*"
-_UNITS = f"{NUMBER}\\x20(?i:{'|'.join(UNITS)})(?!{_WORD})"
+#: Number words with all that may follow them in one word, by their first letter: tried only
+#: after what parts words, which is kept.
+_INITIALS = sorted({w[0] for w in NUMBER_WORDS})
+_COMPOUND = {w: f"{w}(?:-(?:{'|'.join(ONES)}))?" if w in TENS else w for w in NUMBER_WORDS}
+_SPELLED = "([\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\uE001\uE003\uE004])(?:" + "|".join(
+    f"[{c}{c.upper()}](?i:{'|'.join(v[1:] for w, v in _COMPOUND.items() if w[0] == c)})" for c in _INITIALS
+) + f")(?!{_OWN})"
+_UNITS = f"({NUMBER}{_CLOSE}?\\x20[{_NAME_OPEN}{_OPEN}]?)(?i:{'|'.join(UNITS)})(?!{_OWN})"
 _ATTACHED = f"([0-9])(?=(?i:{'|'.join(UNITS)})(?!{_WORD}))"
 _MARKS = "[\\x00-\\x1F\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+#: A blank that no word follows, with the marks that stand there.
+_LOOSE = f"\\x20(?:{_MARKS}+)?(?=\\x20|$)"
 #: Characters of scripts without blanks are words each; their marks part words.
 _UNSPACED = (
     "[\\u0E00-\\u0EFF\\u1000-\\u109F\\u1780-\\u17FF\\u3040-\\u30FF\\u3400-\\u4DBF\\u4E00-\\u9FFF"
@@ -82,39 +102,43 @@ def _spaced(text: Column) -> Column:
         text = F.replace(text, F.lit(blank), F.lit(" "))
     text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, _ATTACHED, "$1 ")).otherwise(text)
     parted = F.regexp_replace(F.regexp_replace(text, _PARTING, " "), f"({_UNSPACED})", " $1 ")
-    return F.when(text.rlike(_UNSPACED), parted).otherwise(text)
+    wide = F.octet_length(text) > F.length(text)
+    return F.when(wide & text.rlike(_UNSPACED), parted).otherwise(text)
 
 
 def canonical(df: DataFrame) -> DataFrame:
     """Put the words of all ``FORMS`` and ``raw``, what stands there, for ``text``.
 
-    Words are cut at blanks; marks are removed and words of marks alone disappear, at the
-    same places in all forms. A unit attached to its number counts as a word of its own.
-    Steps on numbers are left out for texts without a digit.
+    Words are cut at blanks; marks are removed and words of marks alone disappear, before
+    anything else, so that a word has one place in all forms. A unit attached to its number
+    counts as a word of its own. Capitalised words are marked where they stand; numbers,
+    units, marks and case are seen to once, and each form drops or types what is marked.
     """
-    df = df.withColumn("text", _spaced(F.col("text")))
-    df = df.withColumns(
-        {
-            "plain": F.lower("text"), "canon": F.regexp_replace("text", _NAMES, NAME),
-            "caps": F.regexp_replace("text", _CAPITALISED, NAME),
-        }
-    )
-    digits = F.col("text").rlike("[0-9]")
+    def without(text: Column, *marks: str) -> Column:
+        for m in marks:
+            text = F.replace(text, F.lit(m), F.lit(""))
+        return text
 
-    def words(form: str) -> Column:
-        typed = F.regexp_replace(F.regexp_replace(form, _NUMBERS, NUMBER), _UNITS, f"{NUMBER} {UNIT}")
-        typed = F.when(digits, typed).otherwise(F.col(form))
-        bare = F.split(F.lower(F.regexp_replace(typed, _MARKS, "")), "\\x20")
-        return F.transform(bare, lambda w: F.when(w.isin(NUMBER_WORDS), NUMBER).otherwise(w))
+    def typed(text: Column, marks: str) -> Column:
+        return F.regexp_replace(text, f"[{marks}][^{_CLOSE}\\x20]*{_CLOSE}", NAME)
 
-    df = df.select(
-        *[c for c in df.columns if c not in ("text", *FORMS)],
-        *[words(f).alias(f) for f in FORMS], F.split("text", "\\x20").alias("raw"),
+    df = df.withColumn("text", _spaced(F.col("text")))
+    # every word has a blank before it
+    df = df.withColumn("text", F.regexp_replace(F.concat(F.lit(" "), "text"), _LOOSE, ""))
+    marked = F.regexp_replace("text", _CAPITALISED, f"{_OPEN}$0{_CLOSE}")
+    marked = F.regexp_replace(marked, _NAMES, _NAME_OPEN)
+    marked = F.regexp_replace(F.regexp_replace(marked, _NUMBERS, NUMBER), _SPELLED, f"$1{NUMBER}")
+    marked = F.regexp_replace(F.regexp_replace(marked, _UNITS, f"$1{UNIT}"), _MARKS, "")
+    df = df.withColumn("marked", F.ltrim(F.lower(marked)))
+    forms = {
+        "plain": without(F.col("marked"), _NAME_OPEN, _OPEN, _CLOSE),
+        "canon": without(typed(F.col("marked"), _NAME_OPEN), _OPEN, _CLOSE),
+        "caps": without(typed(F.col("marked"), _NAME_OPEN + _OPEN), _OPEN, _CLOSE),
+    }
+    return df.select(
+        *[c for c in df.columns if c not in ("text", "marked")],
+        *[F.split(v, " ").alias(f) for f, v in forms.items()], F.split(F.ltrim("text"), " ").alias("raw"),
     )
-    marks = F.array_contains("plain", "")
-    new = {c: F.filter(c, lambda w, i: F.get("plain", i) != "") for c in ("canon", "caps", "raw")}
-    new["plain"] = F.array_remove("plain", "")
-    return df.withColumns({c: F.when(marks, v).otherwise(F.col(c)) for c, v in new.items()})
 
 
 def bare_words(text: Column) -> Column:
@@ -126,23 +150,10 @@ def _value(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, _MARKS, ""))
 
 
-def with_windows(df: DataFrame, size: int, words: str = "canon", keys: str = "keys") -> DataFrame:
-    """Add ``keys``, the hash of every window of ``size`` words.
-
-    Each doubling is a column of its own, since an array expression that is used three
-    times in the next one would be computed as often. The last step may overlap.
-    """
-    df, have = df.withColumn(keys, F.transform(words, lambda w: F.xxhash64(w))), 1
-    while have < size:
-        step = min(have, size - have)
-        rest = F.greatest(F.size(keys) - step, F.lit(0))
-        df = df.withColumn("later", F.slice(keys, F.lit(step + 1), rest))
-        df = df.withColumn(
-            keys,
-            F.zip_with(F.slice(keys, F.lit(1), rest), "later", lambda a, b: F.xxhash64(a, b)),
-        )
-        have += step
-    return df.drop("later")
+def _key(words: str, at: str, size: int) -> Column:
+    """The hash of ``size`` words from a place on, NULL where fewer are left."""
+    words_at = [F.get(words, F.col(at) + j) for j in range(size)]
+    return F.when(F.col(at) + size <= F.size(words), F.xxhash64(*words_at))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -163,53 +174,79 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return rows.withColumn("size", size).drop("known")
 
 
-def item_windows(items: DataFrame, size: int) -> DataFrame:
-    """(key, item, item_id, offset, total, values, slots): windows of items of one size.
+def item_windows(items: DataFrame) -> DataFrame:
+    """(key, item, item_id, size, offset, total, values, slots, telling): windows of items.
 
     ``values`` are the words in the text, ``slots`` the places that are placeholders and
     their types. A window is searched in every form, if it is at least half plain words
-    with names typed; ``total`` counts it once.
+    with names typed; ``total`` counts it once. Not ``telling`` is one that more than
+    ``STOCK`` templates hold, in an item that has windows held by fewer.
     """
-    items = items.filter(F.col("size") == size)
-
-    def slots(form: str) -> Column:
-        part = F.slice(form, F.col("offset") + 1, F.lit(size))
-        typed = lambda w, i: F.when(w.isin(NUMBER, NAME, UNIT), F.struct(i.alias("at"), w.alias("kind")))
-        return F.filter(F.transform(part, typed), lambda i: i.isNotNull())
-
+    template = F.xxhash64("canon").alias("template")
+    items = items.select("*", template, F.posexplode("canon").alias("offset", "word"))
     found = None
-    for form in (*FORMS, "names"):
-        rows = with_windows(items, size, form)
-        rows = rows.select("item", "item_id", "canon", form if form != "canon" else "plain", "raw",
-                           F.posexplode_outer("keys").alias("offset", "key"))
-        rows = rows.select(
-            "key", "item", "item_id", "offset", slots(form).alias("slots"), F.size(slots("canon")).alias("least"),
-            F.slice("raw", F.col("offset") + 1, F.lit(size)).alias("values"),
-        ).filter(F.col("key").isNotNull() & (F.size("slots") <= size // 2) & (F.col("least") <= size // 2))
-        found = rows if found is None else found.union(rows)
-    found = found.drop("least").distinct()
-    return found.withColumn("total", F.size(F.collect_set("offset").over(Window.partitionBy("item"))))
+    for size in (WINDOW, WINDOW // 2):
 
+        def slots(form: str) -> Column:
+            part = F.slice(form, F.col("offset") + 1, F.lit(size))
+            typed = lambda w, i: F.when(w.isin(NUMBER, NAME, UNIT), F.struct(i.alias("at"), w.alias("kind")))
+            return F.filter(F.transform(part, typed), lambda i: i.isNotNull())
+
+        for form in (*FORMS, "names"):
+            rows = items.filter(F.col("size") == size).select(
+                _key(form, "offset", size).alias("key"), "item", "item_id", "template", "size", "offset",
+                slots(form).alias("slots"), F.size(slots("canon")).alias("least"),
+                F.slice("raw", F.col("offset") + 1, F.lit(size)).alias("values"),
+            ).filter(F.col("key").isNotNull() & (F.size("slots") <= size // 2) & (F.col("least") <= size // 2))
+            found = rows if found is None else found.union(rows)
+    found = session.materialise(found.drop("least").distinct(), "item-windows")
+    held = found.groupBy("key").agg(F.count_distinct("template").alias("held"))
+    item = Window.partitionBy("item")
+    found = found.drop("template").join(held, "key").withColumns(
+        {"total": F.size(F.collect_set("offset").over(item)), "fewest": F.min("held").over(item)}
+    )
+    return found.withColumn("telling", F.col("held") <= F.greatest(F.lit(STOCK), "fewest")).drop("held", "fewest")
 
-def _aligned(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
-    """Matched windows: row, item, diagonal, offset and the pairs of slot values.
+
+def _hits(texts: DataFrame, keys: DataFrame, sizes: list[int]) -> DataFrame:
+    """(row, pos, key, words): windows of documents that items have as well.
 
     A window is looked up once for each form in which it differs. The outer form of the
     generators keeps Spark from inferring a filter on the hashes, which would compute them
-    a second time; the join drops the empty rows.
+    a second time; the join drops the empty rows. Hashes are taken of the unrolled rows, by
+    expressions that are compiled, unlike functions over arrays.
     """
-    for form in FORMS:
-        texts = with_windows(texts, size, form, f"{form}_keys")
-    plain, canon, caps = (F.col(f"k.{f}_keys") for f in FORMS)
-    rows = texts.select("row", "raw", F.posexplode_outer(F.arrays_zip(*[f"{f}_keys" for f in FORMS])).alias("pos", "k"))
-    once = F.array(plain, F.when(canon != plain, canon), F.when((caps != plain) & (caps != canon), caps))
-    rows = rows.select("row", "raw", "pos", F.explode_outer(once).alias("key")).join(found, "key")
+    rows = texts.select("row", "raw", *FORMS, F.posexplode_outer("plain").alias("pos", "word"))
+    hashes = [_key(f, "pos", s).alias(f"{f}_{s}") for s in sizes for f in FORMS]
+    rows, once = rows.select("row", "raw", "pos", *hashes), []
+    for s in sizes:
+        plain, canon, caps = (F.col(f"{f}_{s}") for f in FORMS)
+        once += [plain, F.when(canon != plain, canon), F.when((caps != plain) & (caps != canon), caps)]
+    rows = rows.select("row", "raw", "pos", F.explode_outer(F.array(*once)).alias("key"))
+    few = keys.count() <= BROADCAST
+    rows = rows.join(F.broadcast(keys) if few else keys, "key")
+    return rows.select("row", "pos", "key", F.slice("raw", F.col("pos") + 1, F.col("size")).alias("words"))
+
+
+def _aligned(hits: DataFrame, windows: DataFrame) -> DataFrame:
+    """Matched windows: row, item, diagonal, offset and the pairs of slot values.
+
+    Windows that tell nothing are joined only for documents and items that share a telling
+    one, so a sentence that is stock to thousands of items yields no pair by itself.
+    """
+    few = windows.count() <= BROADCAST
+    near = lambda df: F.broadcast(df) if few else df
+    telling, stock = windows.filter("telling").drop("telling"), windows.filter("not telling").drop("telling")
+    rows = hits.join(near(telling), "key")
+    if stock.limit(1).count():
+        pairs = rows.select("row", "item").distinct().join(near(stock), "item")
+        rows = rows.unionByName(hits.join(pairs, ["row", "key"]))
     # a value is marked by its type, so that types are told apart
     pairs = F.transform(
         "slots",
         lambda i: F.struct(
             F.concat(i["kind"], _value(F.get("values", i["at"]))).alias("item"),
-            F.concat(i["kind"], _value(F.get("raw", F.col("pos") + i["at"]))).alias("doc"),
+            F.concat(i["kind"], _value(F.get("words", i["at"]))).alias("doc"),
         ),
     )
     rows = rows.select(
@@ -227,10 +264,14 @@ def _verbatim(docs: DataFrame, rest: DataFrame) -> DataFrame | None:
     words = session.materialise(words.withColumn("size", size), "bare-items")
     found = None
     for size in sorted(r.size for r in words.select(F.col("size").alias("size")).distinct().collect()):
-        keys = with_windows(words.filter(F.col("size") == size), size, "words")
-        keys = keys.select("item", "item_id", F.size("keys").alias("total"), F.posexplode("keys").alias("offset", "key"))
-        texts = with_windows(docs.select("row", bare_words(F.col("text")).alias("words")), size, "words")
-        rows = texts.select("row", F.posexplode_outer("keys").alias("pos", "key"))
+        keys = words.filter(F.col("size") == size)
+        keys = keys.select("item", "item_id", "words", F.posexplode("words").alias("offset", "word"))
+        keys = keys.select(
+            "item", "item_id", (F.size("words") - size + 1).alias("total"), "offset", _key("words", "offset", size).alias("key")
+        ).filter("key is not null")
+        texts = docs.select("row", bare_words(F.col("text")).alias("words"))
+        rows = texts.select("row", "words", F.posexplode_outer("words").alias("pos", "word"))
+        rows = rows.select("row", "pos", _key("words", "pos", size).alias("key"))
         rows = rows.join(F.broadcast(keys) if keys.count() <= BROADCAST else keys, "key").select(
             "row", "item", "item_id", "total", (F.col("pos") - F.col("offset")).alias("diagonal"), "offset",
             F.array().cast("array<struct<item:string,doc:string>>").alias("pairs"), F.lit(True).alias("same"),
@@ -245,17 +286,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Data
     ``docs`` has row, which tells rows apart, and text.
     """
     items = session.materialise(_items(benchmark), "items")
-    texts = canonical(docs)
-    found, searched = None, None
-    for size in (WINDOW, WINDOW // 2):
-        keys = session.materialise(item_windows(items, size), "item-windows")
-        searched = keys.select("item") if searched is None else searched.union(keys.select("item"))
-        count = keys.count()
-        if not count and size != WINDOW:
-            continue  # no short item: no second set of windows
-        part = _aligned(texts, F.broadcast(keys) if count <= BROADCAST else keys, size)
-        found = part if found is None else found.union(part)
-    others = _verbatim(docs, items.join(searched.distinct(), "item", "left_anti"))
+    windows = session.materialise(item_windows(items), "item-windows")
+    sizes = [r.size for r in windows.select("size").distinct().collect()] or [WINDOW]
+    hits = _hits(canonical(docs), windows.select("key", "size").distinct(), sizes)
+    found = _aligned(session.materialise(hits, "benchmark-hits"), windows)
+    others = _verbatim(docs, items.join(windows.select("item").distinct(), "item", "left_anti"))
     found = found if others is None else found.union(others)
     # an offset occurs at most once for each form on a diagonal
     lines = found.groupBy("row", "item", "item_id", "total", "diagonal").agg(

@@ -400,3 +400,26 @@ def test_mix_against_sql(spark, folder):
     con = oracle.connect(folder)
     name = "op4_mixing"
     assert oracle.compare(queries.QUERIES[name](spark, folder), con, queries.ORACLES[name]) is None
+
+
+def test_stock_sentences_tell_nothing(spark):
+    stock = "Read the following passage with care and then answer the question that stands below it."
+    items = [f"{stock} Who saw the {a} {b} near the old {c}?" for a in ("red", "wet", "sad") for b in ("fox", "cow")
+             for c in ("mill", "barn", "well")]
+    rows = [f"note: {stock}"] * 20 + [f"well, {items[4].lower()}", items[7] + " ok", "nothing of it"]
+    assert reported(spark, items, rows) >= {(20, 4), (21, 7)}
+    assert {d for d, _ in reported(spark, items, rows)} == {20, 21}
+    # an item that is the stock sentence is held by each
+    assert reported(spark, [*items, stock], rows[:1]) == {(0, len(items))}
+
+
+def test_spelled_and_joined_numbers(spark):
+    train = "A train travels {} in {}. What is its speed and how long is the way to the next town?"
+    rows = [train.format(a, b) for a, b in (("ninety-five miles", "three hours"), ("95 km", "2 hours"), ("Ninety-Five Miles", "THREE hours"))]
+    assert reported(spark, [train.format("60 km", "2 hours")], rows) == {(0, 0), (1, 0), (2, 0)}
+
+
+def test_decontamination_does_not_depend_on_partitions(spark, folder):
+    docs, bench = texts(spark, folder), table(spark, folder, "benchmark")
+    runs = [decontam.contaminated(docs.repartition(n), bench.repartition(n)).collect() for n in (1, 3, 8)]
+    assert len({tuple(sorted(map(tuple, r))) for r in runs}) == 1 and runs[0]
