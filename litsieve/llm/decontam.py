@@ -74,7 +74,9 @@ _NUMBERS = "[0-9]+(?:[.,:/][0-9]+)*"
 #: after what parts words, which is kept.
 _INITIALS = sorted({w[0] for w in NUMBER_WORDS})
 _COMPOUND = {w: f"{w}(?:-(?:{'|'.join(ONES)}))?" if w in TENS else w for w in NUMBER_WORDS}
-_SPELLED = "([\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\uE001\uE003\uE004])(?:" + "|".join(
+_SPELLED = "([\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\uE001\uE003\uE004])" + (
+    f"(?=[{''.join(_INITIALS)}{''.join(_INITIALS).upper()}])(?:"
+) + "|".join(
     f"[{c}{c.upper()}](?i:{'|'.join(v[1:] for w, v in _COMPOUND.items() if w[0] == c)})" for c in _INITIALS
 ) + f")(?!{_OWN})"
 _UNITS = f"({NUMBER}{_CLOSE}?\\x20[{_NAME_OPEN}{_OPEN}]?)(?i:{'|'.join(UNITS)})(?!{_OWN})"
@@ -95,15 +97,19 @@ _SENTENCE = "[.,;:!?\"'()\\[\\]{}]+(?=\\x20|$)|(?<![^\\x20])[.,;:!?\"'()\\[\\]{}
 FORMS = ("plain", "canon", "caps")
 
 
-def _spaced(text: Column) -> Column:
-    """The text with one kind of blank, units parted from numbers, unspaced scripts parted."""
-    text = F.coalesce(text, F.lit(""))
+def _spaced(df: DataFrame) -> DataFrame:
+    """``text`` with one kind of blank, units parted from numbers, unspaced scripts parted.
+
+    Each step is a column of its own, since the next one uses it several times.
+    """
+    text = F.coalesce("text", F.lit(""))
     for blank in "\t\n\v\f\r":
         text = F.replace(text, F.lit(blank), F.lit(" "))
-    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, _ATTACHED, "$1 ")).otherwise(text)
+    df, text = df.withColumn("text", text), F.col("text")
+    df = df.withColumn("text", F.when(text.rlike("[0-9]"), F.regexp_replace(text, _ATTACHED, "$1 ")).otherwise(text))
     parted = F.regexp_replace(F.regexp_replace(text, _PARTING, " "), f"({_UNSPACED})", " $1 ")
     wide = F.octet_length(text) > F.length(text)
-    return F.when(wide & text.rlike(_UNSPACED), parted).otherwise(text)
+    return df.withColumn("text", F.when(wide & text.rlike(_UNSPACED), parted).otherwise(text))
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -122,18 +128,20 @@ def canonical(df: DataFrame) -> DataFrame:
     def typed(text: Column, marks: str) -> Column:
         return F.regexp_replace(text, f"[{marks}][^{_CLOSE}\\x20]*{_CLOSE}", NAME)
 
-    df = df.withColumn("text", _spaced(F.col("text")))
+    df = _spaced(df)
     # every word has a blank before it
     df = df.withColumn("text", F.regexp_replace(F.concat(F.lit(" "), "text"), _LOOSE, ""))
     marked = F.regexp_replace("text", _CAPITALISED, f"{_OPEN}$0{_CLOSE}")
     marked = F.regexp_replace(marked, _NAMES, _NAME_OPEN)
     marked = F.regexp_replace(F.regexp_replace(marked, _NUMBERS, NUMBER), _SPELLED, f"$1{NUMBER}")
-    marked = F.regexp_replace(F.regexp_replace(marked, _UNITS, f"$1{UNIT}"), _MARKS, "")
-    df = df.withColumn("marked", F.ltrim(F.lower(marked)))
+    df = df.withColumn("marked", marked)
+    units = F.regexp_replace("marked", _UNITS, f"$1{UNIT}")
+    marked = F.when(F.contains("marked", F.lit(NUMBER)), units).otherwise(F.col("marked"))
+    df = df.withColumn("marked", F.ltrim(F.lower(F.regexp_replace(marked, _MARKS, ""))))
     forms = {
         "plain": without(F.col("marked"), _NAME_OPEN, _OPEN, _CLOSE),
         "canon": without(typed(F.col("marked"), _NAME_OPEN), _OPEN, _CLOSE),
-        "caps": without(typed(F.col("marked"), _NAME_OPEN + _OPEN), _OPEN, _CLOSE),
+        "caps": typed(F.col("marked"), _NAME_OPEN + _OPEN),
     }
     return df.select(
         *[c for c in df.columns if c not in ("text", "marked")],
@@ -141,9 +149,10 @@ def canonical(df: DataFrame) -> DataFrame:
     )
 
 
-def bare_words(text: Column) -> Column:
-    """The words as they stand, in lower case and without sentence marks around them."""
-    return F.array_remove(F.split(F.regexp_replace(F.lower(_spaced(text)), _SENTENCE, ""), "\\x20"), "")
+def bare_words(df: DataFrame) -> DataFrame:
+    """Put ``words`` for ``text``: as they stand, in lower case, without sentence marks around them."""
+    words = F.split(F.regexp_replace(F.lower("text"), _SENTENCE, ""), "\\x20")
+    return _spaced(df).withColumn("words", F.array_remove(words, "")).drop("text")
 
 
 def _value(word: Column) -> Column:
@@ -258,7 +267,7 @@ def _aligned(hits: DataFrame, windows: DataFrame) -> DataFrame:
 
 def _verbatim(docs: DataFrame, rest: DataFrame) -> DataFrame | None:
     """Matched windows, as ``_aligned`` has them, of the words as they stand of other items."""
-    words = rest.select("item", "item_id", bare_words(F.col("text")).alias("words")).filter("size(words) > 0")
+    words = bare_words(rest.select("item", "item_id", "text")).filter("size(words) > 0")
     n = F.size("words")
     size = F.when(n >= WINDOW, WINDOW).when(n >= WINDOW // 2, WINDOW // 2).otherwise(n)
     words = session.materialise(words.withColumn("size", size), "bare-items")
@@ -269,7 +278,7 @@ def _verbatim(docs: DataFrame, rest: DataFrame) -> DataFrame | None:
         keys = keys.select(
             "item", "item_id", (F.size("words") - size + 1).alias("total"), "offset", _key("words", "offset", size).alias("key")
         ).filter("key is not null")
-        texts = docs.select("row", bare_words(F.col("text")).alias("words"))
+        texts = bare_words(docs.select("row", "text"))
         rows = texts.select("row", "words", F.posexplode_outer("words").alias("pos", "word"))
         rows = rows.select("row", "pos", _key("words", "pos", size).alias("key"))
         rows = rows.join(F.broadcast(keys) if keys.count() <= BROADCAST else keys, "key").select(
