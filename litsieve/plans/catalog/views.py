@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from litsieve.functions.clean import clean_text
 from litsieve.rules import Rules
-from litsieve.session import spread, tune
+from litsieve.session import deal, spread, tune
 from litsieve.sources.tables import TABLE_NAMES, Tables
 
 BASE_TABLES = (
@@ -131,11 +131,9 @@ VIEWS: dict[str, str] = {
 
 
 # Views with costly rows, and the key that deals out a small input file.
-_SPREAD = {
-    ("corpus", "documents"): "doc_id",
-    ("parts", "lineitem"): "l_orderkey",
-    ("files", "lineitem"): "l_orderkey",
-}
+_SPREAD = {("corpus", "documents"): "doc_id"}
+# Tables whose rows a view groups, and the key that deals them out in tasks of bounded size.
+_DEALT = {"lineitem": "l_orderkey"}
 
 
 def _needed(sql: str, known: dict[str, str]) -> list[str]:
@@ -174,6 +172,12 @@ class Inputs:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
+    def _dealt(self, table: str) -> DataFrame:
+        """The table dealt out by its key; its rows are counted once."""
+        if f"{table} dealt" not in self._tables:
+            self._tables[f"{table} dealt"] = deal(self.table(table), _DEALT[table])
+        return self._tables[f"{table} dealt"]
+
     def view(self, name: str) -> DataFrame:
         if name == "clean":
             return self.view("corpus").withColumn("text", clean_text(F.col("text")))
@@ -182,7 +186,7 @@ class Inputs:
         sql = with_views(f"SELECT * FROM {name}")
         for table in BASE_TABLES:
             if re.search(rf"\b{table}\b", sql):
-                df = self.table(table)
+                df = self._dealt(table) if table in _DEALT else self.table(table)
                 if (name, table) in _SPREAD:
                     df = spread(df, _SPREAD[name, table])
                 df.createOrReplaceTempView(table)

@@ -69,3 +69,18 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if len(df.inputFiles()) > 1 or df.rdd.getNumPartitions() > cores:
         return df
     return df.repartition(cores, *keys)
+
+
+#: Rows of one task of a keyed step, about.
+DEALT_ROWS = 1 << 18
+
+
+def deal(df: DataFrame, *keys: str, rows: int = DEALT_ROWS) -> DataFrame:
+    """The rows of a table that is grouped by its keys next, in tasks of about ``rows`` rows.
+
+    That grouping shuffles them anyway. The number of tasks follows the table, so that what
+    one of them sorts or hashes, there and in later steps on the same keys, does not grow
+    with it. The rows of a stored table are counted from its file footers.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // rows)), *keys)

@@ -9,9 +9,11 @@ from itertools import accumulate
 import pytest
 from pyspark.sql import functions as F
 
+from litsieve import session
 from litsieve.operators import running, selection, texts
 from litsieve.operators.bloom import bloom_filter
 from litsieve.plans import build
+from litsieve.plans.catalog import views
 from litsieve.plans.catalog.views import RULES, Inputs
 from litsieve.sources import tables
 
@@ -174,3 +176,17 @@ def _shuffled_tables(plan: str) -> set[str]:
                 out.add(line.split("colocated.")[1].split("[")[0])
                 break
     return out
+
+
+# -- Tasks that follow the size of a table
+
+
+def test_tasks_of_a_grouped_table_follow_its_rows(spark, folder, monkeypatch):
+    """Eight tasks whatever the table had made the sorts of each grow with it."""
+    assert session.deal(spark.range(0, 10_000, 1, 1), "id", rows=100).rdd.getNumPartitions() == 100
+    plain = Inputs(spark, folder).view("files")
+    monkeypatch.setattr(views, "deal", lambda df, *keys: session.deal(df, *keys, rows=200))
+    dealt = Inputs(spark, folder).view("files")
+    lines = Inputs(spark, folder).table("lineitem").count()
+    assert dealt.rdd.getNumPartitions() == -(-lines // 200) > 8
+    assert plain.exceptAll(dealt).isEmpty() and dealt.exceptAll(plain).isEmpty()
