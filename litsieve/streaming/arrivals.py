@@ -1,10 +1,13 @@
 """Outcomes of candidate articles that arrive in weekly files.
 
-The state holds, per article number, whether the database knows it and which archive entries
-have been seen. It starts from the known IDs, read once; an entry that comes a second time,
-as when a file is delivered again, adds nothing. Entries are remembered for ``remember``
-milliseconds, known IDs for good: the state grows with the database and the arrivals of that
-span, not with the length of the stream.
+An entry that comes a second time, as when a file is delivered again, adds nothing. Entries are
+remembered by Spark's own streaming deduplication, whose state is the arrivals alone; what the
+database knows is joined to each batch.
+
+With ``remember`` the state holds, per article number, whether the database knows it and which
+entries have been seen. It starts from the known IDs, read once. Entries are remembered for that
+many milliseconds, known IDs for good: the state grows with the database and the arrivals of
+that span, not with the length of the stream. Each article number is a call of Python there.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from litsieve.operators.candidates import ARTICLE_TYPES, decide, key_of
+from litsieve.operators.candidates import ARTICLE_TYPES, decide, key_of, with_outcome
 from litsieve.streaming.state import keep_state_on_disk
 
 
@@ -46,6 +49,9 @@ def outcome_stream(articles: DataFrame, known: DataFrame, types: Mapping[str, bo
                    remember: int | None = None) -> DataFrame:
     """Arriving articles, each archive entry once, with ``outcome`` as the batch job has it."""
     keep_state_on_disk(articles.sparkSession)
+    if remember is None:
+        first = articles.withColumn("_key", key_of(pmid, article_id)).dropDuplicates(["_key", article_id])
+        return with_outcome(first.drop("_key"), known, types, pmid, kind, article_id)
     # spread by their own ID where there is no PMID
     keyed = articles.withColumn("_key", key_of(pmid, article_id))
     start = known.filter(F.col(pmid).isNotNull()).select(F.col(pmid).cast("string").alias("_key")).distinct()
@@ -53,7 +59,7 @@ def outcome_stream(articles: DataFrame, known: DataFrame, types: Mapping[str, bo
     rows = keyed.groupBy("_key").transformWithState(
         statefulProcessor=FirstArrivals(articles.columns, article_id, remember),
         outputStructType=f"{fields}, known boolean", outputMode="Append",
-        timeMode="None" if remember is None else "ProcessingTime",
+        timeMode="ProcessingTime",
         initialState=start.groupBy("_key"),
     )
     return rows.withColumn("outcome", decide(F.col("known"), types, pmid, kind)).drop("known")
