@@ -21,6 +21,16 @@ def part_rank(text_type: Column, order: tuple[str, ...] = PART_ORDER) -> Column:
     return F.when(found > 0, found).otherwise(F.lit(len(order) + 1))
 
 
+def ordered_text(order: tuple[str, ...] = PART_ORDER) -> Column:
+    """Aggregate of the rows of an article that have a text part: its text."""
+    ordered = F.array_sort(
+        F.collect_list(
+            F.struct(part_rank(F.col("text_type"), order).alias("rank"), "part_no", "text_part")
+        )
+    )
+    return F.array_join(F.transform(ordered, lambda p: p["text_part"]), "")
+
+
 def assemble_text(parts: DataFrame, order: tuple[str, ...] = PART_ORDER,
                   keys: DataFrame | None = None, likely: Bloom | None = None) -> DataFrame:
     """(refs_key, ext_text): the text parts of each article in type order.
@@ -36,14 +46,7 @@ def assemble_text(parts: DataFrame, order: tuple[str, ...] = PART_ORDER,
         rows = likely.keep(rows, "refs_key")
     if keys is not None:
         rows = rows.join(keys.select("refs_key"), "refs_key", "left_semi")
-    ordered = F.array_sort(
-        F.collect_list(
-            F.struct(part_rank(F.col("text_type"), order).alias("rank"), "part_no", "text_part")
-        )
-    )
-    return rows.groupBy("refs_key").agg(
-        F.array_join(F.transform(ordered, lambda p: p["text_part"]), "").alias("ext_text")
-    )
+    return rows.groupBy("refs_key").agg(ordered_text(order).alias("ext_text"))
 
 
 def join_text(records: DataFrame, texts: DataFrame, allow_no_text: bool = True) -> DataFrame:

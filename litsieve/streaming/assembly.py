@@ -6,6 +6,8 @@ last version of every article is what the batch job makes of the same parts. Wit
 the parts of an article are forgotten when nothing has come for that long; a part that comes
 even later is given out by itself and marked as not complete, for the batch job to mend.
 
+Without either, no timers are needed and the parts so far are the state of a streaming aggregate.
+
 Articles are the keys of the state store, so the state is spread over the tasks and bounded
 per task by the parts of one article in memory; a restart goes on from the checkpoint.
 """
@@ -19,8 +21,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
-from litsieve.operators.texts import PART_ORDER, part_rank
-from litsieve.streaming.state import keep_state_on_disk
+from litsieve.operators.texts import PART_ORDER, ordered_text, part_rank
+from litsieve.streaming.state import gives_changed_rows, keep_state_on_disk
 
 _OUT = "refs_key {}, ext_text string, version bigint, n_parts bigint, complete boolean"
 
@@ -90,6 +92,8 @@ def assemble_stream(parts: DataFrame, order: tuple[str, ...] = PART_ORDER, quiet
     it, no timers are kept, and the stream can be run for the files that are there.
     """
     keep_state_on_disk(parts.sparkSession)
+    if not quiet and retain is None:
+        return _aggregated(parts, order)
     rows = parts.filter(F.col("text_part").isNotNull()).select(
         "refs_key", part_rank(F.col("text_type"), order).cast("int").alias("rank"),
         F.col("part_no").cast("bigint").alias("part_no"), "text_part",
@@ -97,8 +101,23 @@ def assemble_stream(parts: DataFrame, order: tuple[str, ...] = PART_ORDER, quiet
     out = _OUT.format(parts.schema["refs_key"].dataType.simpleString())
     return rows.groupBy("refs_key").transformWithState(
         statefulProcessor=TextAssembler(quiet, retain), outputStructType=out, outputMode="Append",
-        timeMode="None" if not quiet and retain is None else "ProcessingTime",
+        timeMode="ProcessingTime",
+    )
+
+
+def _aggregated(parts: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """The articles that a batch has parts of; the version counts the batches that had some."""
+    rows = parts.filter(F.col("text_part").isNotNull()).select(
+        "refs_key", "text_type", F.col("part_no").cast("bigint").alias("part_no"), "text_part",
+        # one value per batch, kept in the log of the stream
+        F.current_timestamp().alias("_batch"),
+    )
+    given = rows.groupBy("refs_key").agg(
+        ordered_text(order).alias("ext_text"),
+        F.size(F.collect_set("_batch")).cast("bigint").alias("version"),
+        F.count("*").alias("n_parts"),
     )
+    return gives_changed_rows(given.withColumn("complete", F.lit(True)))
 
 
 def latest_texts(given: DataFrame) -> DataFrame:

@@ -130,3 +130,20 @@ def test_arrivals_equal_the_batch_outcome(spark, folders):
         assert _arrive(spark, folders, rows[max(upto - 45, 0) : upto], known) == got
         batch = candidates.with_outcome(spark.createDataFrame(rows[:upto], ARTICLES), known)
         assert got == sorted(map(tuple, batch.collect()), key=repr)
+
+
+def _python_calls(rows):
+    return "transformwithstate" in rows._jdf.queryExecution().toString().lower()
+
+
+def test_streams_without_timers_make_no_call_per_key(spark, folders):
+    """A call of Python per article, which took the whole time, is left to streams with timers."""
+    inbox = folders[0]
+    spark.createDataFrame([], PARTS).write.parquet(inbox)
+    parts = assembly.stream_parts(spark, inbox, PARTS)
+    assert not _python_calls(assembly.assemble_stream(parts))
+    assert _python_calls(assembly.assemble_stream(parts, quiet=1000))
+    articles = spark.readStream.schema(ARTICLES).parquet(inbox)
+    known = spark.createDataFrame([(1,)], "pmid long")
+    assert not _python_calls(arrivals.outcome_stream(articles, known))
+    assert _python_calls(arrivals.outcome_stream(articles, known, remember=1000))
