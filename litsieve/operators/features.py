@@ -9,13 +9,17 @@ every later step reads them from there.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from litsieve.session import materialise
 
@@ -74,26 +78,99 @@ def with_terms(df: DataFrame) -> DataFrame:
     return df.withColumn("terms", F.concat("words", bigrams(F.col("words"))))
 
 
+#: Frequent words that tasks are given as a list, at most; more of them are joined.
+LISTED = 1 << 20
+
+
+def _entries(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(row, word) of all words of a list column, in order."""
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(words), dtype=np.int64), sizes), words.flatten()
+
+
+def _codes(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Place of each word among the known ones, -1 if it is not one of them."""
+    return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _neighbours(row: np.ndarray, code: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, first * n + second) of neighbouring known words."""
+    at = np.flatnonzero((row[1:] == row[:-1]) & (code[1:] >= 0) & (code[:-1] >= 0))
+    return row[at], code[at] * n + code[at + 1]
+
+
+def _distinct(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct entries, by row."""
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+    return row[new], value[new]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, df) of the words of each batch."""
+    for batch in batches:
+        row, words = _entries(batch.column("words"))
+        if not len(words):
+            continue
+        coded = words.dictionary_encode()
+        code = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)
+        _, code = _distinct(row[code >= 0], code[code >= 0])
+        df = np.bincount(code, minlength=len(coded.dictionary)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(df)], ["term", "df"])
+
+
+def _count_pairs(frequent: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(first, second, df) of the neighbouring frequent words of each batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(frequent, pa.string())
+        for batch in batches:
+            row, words = _entries(batch.column("words"))
+            row, pair = _neighbours(row, _codes(words, known), max(len(known), 1))
+            pair, df = np.unique(_distinct(row, pair)[1], return_counts=True)
+            parts = known.take(pa.array(pair // max(len(known), 1))), known.take(pa.array(pair % max(len(known), 1)))
+            yield pa.RecordBatch.from_arrays([*parts, pa.array(df.astype(np.int64))], ["first", "second", "df"])
+
+    return run
+
+
 def vocabulary(df: DataFrame, min_df: float = 0.02, max_df: float = 0.75,
                stored: bool = False) -> DataFrame:
     """(term, df) of the words and pairs within the document-frequency bounds.
 
     A pair cannot be more frequent than either of its words, so pairs of a rare
     word are dropped where they are made: almost all distinct pairs never reach
-    the shuffle. ``stored`` says that ``df`` is cheap to read again.
+    the shuffle. Both are counted per batch of documents before it. ``stored`` says
+    that ``df`` is cheap to read again.
     """
     df = df.select("words") if stored else materialise(df.select("words"), "words")
     documents = df.agg(F.count("*")).scalar()
     least, most = F.lit(min_df) * documents, F.lit(max_df) * documents
 
     words = (
-        df.select(F.explode(F.array_distinct("words")).alias("term"))
-        # stated here so that both uses below share one shuffle
-        .filter(F.col("term").isNotNull())
-        .groupBy("term").agg(F.count("*").alias("df"))
+        df.mapInArrow(_count_words, "term string, df bigint")
+        .groupBy("term").agg(F.sum("df").alias("df"))
         .filter(F.col("df") >= least)
     )
-    frequent = words.select("term")
+    words = materialise(words, "frequent")
+    listed = [r.term for r in words.select("term").take(LISTED + 1)]
+    pairs = _listed_pairs(df, listed) if len(listed) <= LISTED else _joined_pairs(df, words.select("term"))
+    pair_counts = pairs.filter(F.col("df") >= least).select(
+        F.concat_ws(" ", "first", "second").alias("term"), "df"
+    )
+    return words.unionByName(pair_counts).filter(F.col("df") <= most)
+
+
+def _listed_pairs(df: DataFrame, frequent: list[str]) -> DataFrame:
+    """(first, second, df) of pairs of frequent words, which every task knows."""
+    pairs = df.mapInArrow(_count_pairs(frequent), "first string, second string, df bigint")
+    return pairs.groupBy("first", "second").agg(F.sum("df").alias("df"))
+
+
+def _joined_pairs(df: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The same for any number of frequent words."""
     # distinct pairs per document, as (first, second)
     pairs = df.select(F.explode(F.array_distinct(bigrams(F.col("words")))).alias("pair")).select(
         F.substring_index("pair", " ", 1).alias("first"),
@@ -101,32 +178,125 @@ def vocabulary(df: DataFrame, min_df: float = 0.02, max_df: float = 0.75,
     )
     for side in ("first", "second"):
         pairs = pairs.join(frequent.withColumnRenamed("term", side), side, "left_semi")
-    pair_counts = (
-        pairs.groupBy("first", "second").agg(F.count("*").alias("df"))
-        .filter(F.col("df") >= least)
-        .select(F.concat_ws(" ", "first", "second").alias("term"), "df")
-    )
-    return words.unionByName(pair_counts).filter(F.col("df") <= most)
+    return pairs.groupBy("first", "second").agg(F.count("*").alias("df"))
+
+
+class _Matcher:
+    """Which terms of a vocabulary the documents hold."""
+
+    def __init__(self, terms: list[str]):
+        self.terms = terms
+
+    def entries(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (row, place of the term) of a list column, by row."""
+        if not hasattr(self, "known"):
+            self._prepare()
+        row, words = _entries(words)
+        code = _codes(words, self.known)
+        place = self.word[code]
+        pair_row, pair = _neighbours(row, code, len(self.known))
+        at = np.minimum(np.searchsorted(self.pairs, pair), max(len(self.pairs) - 1, 0))
+        hit = self.pairs[at] == pair if len(self.pairs) else np.zeros(len(pair), bool)
+        there = (code >= 0) & (place >= 0)
+        rows = np.concatenate([row[there], pair_row[hit]])
+        return _distinct(rows, np.concatenate([place[there], self.pair_place[at[hit]]]))
+
+    def _prepare(self) -> None:
+        parts = [t.split(" ") for t in self.terms]
+        number: dict[str, int] = {}
+        for part in parts:
+            for word in part:
+                number.setdefault(word, len(number))
+        # the last place is for words that are not known
+        self.word = np.full(len(number) + 1, -1, np.int64)
+        pairs = []
+        for place, part in enumerate(parts):
+            if len(part) == 1:
+                self.word[number[part[0]]] = place
+            else:
+                pairs.append((number[part[0]] * len(number) + number[part[1]], place))
+        pairs.sort()
+        self.pairs = np.array([p for p, _ in pairs], np.int64)
+        self.pair_place = np.array([p for _, p in pairs], np.int64)
+        self.known = pa.array(list(number), pa.string())
+
+
+#: Rows of one batch of long-form vectors.
+_LONG = 1 << 17
+
+
+def _long_form(terms: list[str], keep: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(kept columns, term), one row per document and term it holds."""
+    match = _Matcher(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(terms, pa.string())
+        for batch in batches:
+            row, place = match.entries(batch.column("words"))
+            for a in range(0, len(row), _LONG):
+                own, held = pa.array(row[a : a + _LONG]), pa.array(place[a : a + _LONG])
+                columns = [batch.column(c).take(own) for c in keep] + [names.take(held)]
+                yield pa.RecordBatch.from_arrays(columns, [*keep, "term"])
+
+    return run
+
+
+def _counted(terms: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(term, n_docs, n_pos, n_neg) of the documents of a task, ``_pos`` being their class."""
+    match = _Matcher(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((3, len(terms)), np.int64)
+        for batch in batches:
+            row, place = match.entries(batch.column("words"))
+            for out, flag in zip(sums, (None, True, False)):
+                own = place if flag is None else place[
+                    pc.fill_null(pc.equal(batch.column("_pos"), flag), False).to_numpy(zero_copy_only=False)[row]
+                ]
+                out += np.bincount(own, minlength=len(terms))
+        held = np.flatnonzero(sums[0])
+        columns = [pa.array(terms, pa.string()).take(pa.array(held)), *(pa.array(s[held]) for s in sums)]
+        yield pa.RecordBatch.from_arrays(columns, ["term", "n_docs", "n_pos", "n_neg"])
+
+    return run
+
+
+def _vocabulary_list(df: DataFrame, min_df: float, max_df: float) -> tuple[DataFrame, list[str] | None]:
+    """The terms of stored words, stored, and as a list unless there are too many."""
+    vocab = materialise(vocabulary(df, min_df, max_df, stored=True).select("term"), "vocabulary")
+    terms = [r.term for r in vocab.take(LISTED + 1)]
+    return vocab, terms if len(terms) <= LISTED else None
+
+
+def _joined_vectors(df: DataFrame, vocab: DataFrame, *keep: str) -> DataFrame:
+    rows = with_terms(df).select(*keep, F.explode(F.array_distinct("terms")).alias("term"))
+    return rows.join(vocab, "term", "left_semi").select(*keep, "term")
 
 
 def term_vectors(df: DataFrame, *keep: str, min_df: float = 0.02,
                  max_df: float = 0.75) -> DataFrame:
     """Binary document vectors in long form: (kept columns, term)."""
     df = materialise(df.select(*keep, "words"), "words")
-    rows = with_terms(df).select(*keep, F.explode(F.array_distinct("terms")).alias("term"))
-    vocab = vocabulary(df, min_df, max_df, stored=True).select("term")
-    return rows.join(vocab, "term", "left_semi").select(*keep, "term")
+    vocab, terms = _vocabulary_list(df, min_df, max_df)
+    if terms is None:
+        return _joined_vectors(df, vocab, *keep)
+    schema = StructType([*df.select(*keep).schema.fields, StructField("term", StringType())])
+    return df.mapInArrow(_long_form(terms, keep), schema)
 
 
 def feature_counts(df: DataFrame, positive: Column, min_df: float = 0.02,
                    max_df: float = 0.75) -> DataFrame:
     """(term, n_docs, n_pos, n_neg) of the vocabulary: documents holding the term, by class."""
-    rows = term_vectors(df.withColumn("_pos", positive), "_pos", min_df=min_df, max_df=max_df)
-    return rows.groupBy("term").agg(
-        F.count("*").alias("n_docs"),
-        F.count_if("_pos").alias("n_pos"),
-        F.count_if(~F.col("_pos")).alias("n_neg"),
-    )
+    df = materialise(df.select(positive.alias("_pos"), "words"), "words")
+    vocab, terms = _vocabulary_list(df, min_df, max_df)
+    if terms is None:
+        return _joined_vectors(df, vocab, "_pos").groupBy("term").agg(
+            F.count("*").alias("n_docs"),
+            F.count_if("_pos").alias("n_pos"),
+            F.count_if(~F.col("_pos")).alias("n_neg"),
+        )
+    counts = df.mapInArrow(_counted(terms), "term string, n_docs bigint, n_pos bigint, n_neg bigint")
+    return counts.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("n_docs", "n_pos", "n_neg")])
 
 
 class TermVectorizer(Estimator):
