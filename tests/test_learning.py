@@ -133,3 +133,10 @@ def test_word_list(spark, tmp_path):
     assert features.read_word_list(spark, str(tmp_path / "stop.txt")) == ["the", "of"]
     with pytest.raises(ValueError):
         features.read_word_list(spark, str(tmp_path / "stop.txt"), limit=1)
+
+
+def test_rows_of_trees_are_dealt_out_by_their_binned_size(spark):
+    """Partitions as the files had them let what a task of the trees reads grow with the table."""
+    rows = spark.range(0, 1000, 1, 2)
+    assert learning._in_bounds(rows, 1000, 100, most=40_000).rdd.getNumPartitions() == 10
+    assert learning._in_bounds(rows, 1000, 100) is rows
