@@ -161,3 +161,13 @@ def test_ordered_tsv(spark, tmp_path, n):
     if n:
         back = ordered_tsv.read_ordered_tsv(spark, path).orderBy("line").collect()
         assert ["\t".join([r.pubmed, r.journal, r.note]) for r in back] == lines[1:]
+
+
+def test_article_files_are_read_in_few_tasks(spark, tmp_path):
+    """A scan had a task for every few dozen files."""
+    path = str(tmp_path / "texts")
+    df = spark.range(0, 600, 1, 4).select(F.lit("J").alias("journal"), "id", F.lit("text").alias("text"))
+    article_files.write_article_files(df, path, "id", "text")
+    back = article_files.read_article_files(spark, path)
+    assert back.rdd.getNumPartitions() <= 8
+    assert back.count() == 600 and back.select("article").distinct().count() == 600
