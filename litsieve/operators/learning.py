@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from litsieve.operators.boosting import BoostedTrees
@@ -192,6 +192,27 @@ def _name_params(params: Mapping) -> str:
     return ", ".join(sorted(f"{p.name}={v}" for p, v in params.items()))
 
 
+def _fold_scores(rows: DataFrame, fold: int, stages: Sequence[Estimator], grid: Sequence[dict],
+                 evaluator: MulticlassClassificationEvaluator) -> list[float]:
+    """The score of every candidate on one fold, fitted on the others.
+
+    All of them share the vocabulary of the fold and its vectors; texts are not kept.
+    """
+    vectorizer, learner = stages
+    sets = [rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)]
+    if any(part.isEmpty() for part in sets):
+        raise ValueError(f"fold {fold} leaves no rows to fit or to score")
+    vectors = vectorizer.fit(sets[0])
+    fitted, held = (
+        vectors.transform(part).drop("words", "terms").persist(StorageLevel.MEMORY_AND_DISK) for part in sets
+    )
+    try:
+        return [evaluator.evaluate(learner.fit(fitted, params).transform(held)) for params in grid]
+    finally:
+        fitted.unpersist()
+        held.unpersist()
+
+
 def grid_search(train: DataFrame, kind: str, options: Mapping[str, Sequence[Any]],
                 validation: DataFrame | None = None, key: str = "id", folds: int = 5,
                 beta: float = 2.0, seed: int = 0,
@@ -211,11 +232,9 @@ def grid_search(train: DataFrame, kind: str, options: Mapping[str, Sequence[Any]
     grid = _grid(stages[-1], options)
     evaluator = f_beta_evaluator(beta)
     if validation is None:
-        search = CrossValidator(
-            estimator=job, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-            foldCol="fold", parallelism=2,
-        ).fit(rows)
-        scores, best = list(search.avgMetrics), search.bestModel
+        by_fold = [_fold_scores(rows, fold, stages, grid, evaluator) for fold in range(folds)]
+        scores = [sum(of_fold) / folds for of_fold in zip(*by_fold)]
+        best = job.fit(rows, grid[max(range(len(grid)), key=scores.__getitem__)])
     else:
         held_out = _training_rows(validation, kind, key)
         models = [job.fit(rows, params) for params in grid]
