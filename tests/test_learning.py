@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from litsieve.operators import features, learning, reports
+from litsieve.plans.catalog import learning as catalog
+from litsieve.plans.catalog.views import Inputs
 
 
 @pytest.fixture(scope="module")
@@ -140,3 +142,22 @@ def test_rows_of_trees_are_dealt_out_by_their_binned_size(spark):
     rows = spark.range(0, 1000, 1, 2)
     assert learning._in_bounds(rows, 1000, 100, most=40_000).rdd.getNumPartitions() == 10
     assert learning._in_bounds(rows, 1000, 100) is rows
+
+
+def test_candidates_of_a_fold_share_its_vocabulary(spark, monkeypatch):
+    """Every candidate of every fold had counted the words anew."""
+    rnd = random.Random(2)
+    rows = [(i, [f"w{rnd.randrange(8)}" for _ in range(6)], rnd.randrange(2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, words array<string>, label int").coalesce(1)
+    fits, fit = [], features.TermVectorizer._fit
+    monkeypatch.setattr(features.TermVectorizer, "_fit", lambda self, data: fits.append(1) or fit(self, data))
+    options = {"regParam": [0.5, 0.05]}
+    _, table = learning.grid_search(df, "logistic", options, folds=2, maxIter=2)
+    assert len(fits) == 2 + 1 and table.count() == 2
+
+
+def test_article_rows_are_stored_without_their_texts(spark, folder):
+    """The selection was repeated for the predictions."""
+    rows = catalog._article_rows(Inputs(spark, folder))
+    assert "words" in rows.columns and not {"title", "abstract", "extractedText"} & set(rows.columns)
+    assert all("/articles-" in f for f in rows.inputFiles())
