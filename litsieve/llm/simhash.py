@@ -191,13 +191,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(distinct: DataFrame, tile: int = TILE) -> DataFrame:
-    """(a, b): links among distinct fingerprints (fp) that join all that are linked."""
+    """(a, b): links among distinct fingerprints (fp) that join all that are linked.
+
+    Spark sizes the replicated rows, some 31 to a fingerprint, by those they come from, so a
+    table of few MB would have them broadcast; the join is always one of shuffled rows.
+    """
     spread = distinct.select("fp").mapInArrow(_replicate, "anchor bigint, fp bigint, home boolean")
     shared = spread.groupBy("anchor").agg(F.count("*").alias("n"), F.max("home").alias("home"))
     shared = shared.filter("n > 1 and home").select(
         "anchor", F.ceil(F.col("n") / tile).cast("bigint").alias("tiles")
     )
-    rows = spread.select("anchor", "fp").join(shared, "anchor")
+    rows = spread.select("anchor", "fp").hint("merge").join(shared, "anchor")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
     rows = rows.select(

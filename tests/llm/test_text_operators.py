@@ -196,6 +196,13 @@ def test_simhash_against_all_pairs(spark):
     )
 
 
+def test_simhash_replicas_are_not_broadcast(spark):
+    """They were sized by the fingerprints they come from: 537 MB went through the driver at 0.5 GB."""
+    links = simhash.links(spark.range(1000).select(F.xxhash64("id").alias("fp")))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [anchor" in plan and "Broadcast" not in plan
+
+
 def test_simhash_tiles_and_anchors(spark):
     draw = np.random.default_rng(1)
     seeds = draw.integers(0, 2**64, 40, dtype=np.uint64)
