@@ -230,7 +230,8 @@ def linked(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     whole = rooted(distinct)
     least = whole.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = whole.select("fp", "root").join(least, "root").select("fp", "component_id")
-    out = prints.join(classes, "fp")
+    # copies make the stored rows much smaller than they are in memory: not broadcast either
+    out = prints.hint("merge").join(classes, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -203,6 +203,13 @@ def test_simhash_replicas_are_not_broadcast(spark):
     assert "SortMergeJoin [anchor" in plan and "Broadcast" not in plan
 
 
+def test_simhash_stored_prints_are_not_broadcast(spark):
+    """Copies make the stored file small, not the rows."""
+    df = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("one text for all").alias("text"))
+    plan = simhash.linked(df)._jdf.queryExecution().executedPlan().toString()
+    assert next(line for line in plan.splitlines() if "Join " in line).lstrip("+- ").startswith("SortMergeJoin [fp")
+
+
 def test_simhash_tiles_and_anchors(spark):
     draw = np.random.default_rng(1)
     seeds = draw.integers(0, 2**64, 40, dtype=np.uint64)
