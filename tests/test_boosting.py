@@ -106,6 +106,18 @@ def test_equals_a_plain_learner(vectors, s):
         assert np.allclose(got.value, plain["value"], atol=1e-6) and np.allclose(got.gain, plain["gain"], atol=1e-5)
 
 
+@pytest.mark.parametrize("s", SETTINGS[:2])
+def test_one_job_grows_what_a_job_per_level_grows(vectors, monkeypatch, s):
+    """The rounds between two refreshes were three jobs each, also for a few rows."""
+    packed = blocks.pack(vectors, boosting.BLOCK, seed=s.seed)
+    jobs, grow = [], boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda *a: jobs.append(1) or grow(*a))
+    whole = boosting.fit_trees(packed, D, s)
+    assert not jobs
+    monkeypatch.setattr(boosting, "WHOLE", 0)
+    assert boosting.fit_trees(packed, D, s) == whole and len(jobs) == s.rounds
+
+
 def test_size_bounds(vectors):
     s = Settings(rounds=6, depth=3, step=0.3, least_split=120, least_leaf=40, rows=1.0, columns=1.0)
     trees, _, _ = boosting.fit_trees(blocks.pack(vectors, boosting.BLOCK), D, s)

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from litsieve.operators import features, learning, reports
-from litsieve.plans.catalog import learning as catalog
+from litsieve.operators.boosting import Settings
+from litsieve.plans.catalog import learning as catalog, registry
 from litsieve.plans.catalog.views import Inputs
 
 
@@ -156,6 +157,32 @@ def test_candidates_of_a_fold_share_its_vocabulary(spark, monkeypatch):
     assert len(fits) == 2 + 1 and table.count() == 2
 
 
+class _Made(Exception):
+    pass
+
+
+def _made(spark, folder, monkeypatch, name):
+    """The learner that a query fits."""
+    made, classifier = [], learning.classifier
+
+    def keep(*args, **settings):
+        made.append(classifier(*args, **settings))
+        raise _Made
+
+    monkeypatch.setattr(learning, "classifier", keep)
+    with pytest.raises(_Made):
+        registry.load()[name].run(Inputs(spark, folder))
+    return made[0]
+
+
+@pytest.mark.parametrize("name", ["train_boosted", "validation_curve"])
+def test_boosted_trees_are_grown_as_published(spark, folder, monkeypatch, name):
+    """Of 1,600 rounds 16 were grown."""
+    trees = _made(spark, folder, monkeypatch, name)
+    assert trees.settings() == Settings(1600, 3, 0.05, 600, 150, 0.7, 0.85, 11)
+    assert trees.getOrDefault("validationCol") == "held" and trees.getOrDefault("patience") >= 1600
+
+
 def test_article_rows_are_stored_without_their_texts(spark, folder):
     """The selection was repeated for the predictions."""
     rows = catalog._article_rows(Inputs(spark, folder))
