@@ -183,6 +183,14 @@ def test_boosted_trees_are_grown_as_published(spark, folder, monkeypatch, name):
     assert trees.getOrDefault("validationCol") == "held" and trees.getOrDefault("patience") >= 1600
 
 
+def test_sparks_boosted_trees_are_grown_as_published(spark, folder, monkeypatch):
+    """Of 1,600 rounds 8 were grown, with smaller leaves and greater steps."""
+    trees = _made(spark, folder, monkeypatch, "train_gbt")
+    assert (trees.getMaxIter(), trees.getStepSize(), trees.getMaxDepth()) == (1600, 0.05, 3)
+    assert (trees.getMinInstancesPerNode(), trees.getFeatureSubsetStrategy()) == (150, "0.7")
+    assert trees.getSubsamplingRate() == 0.85
+
+
 def test_article_rows_are_stored_without_their_texts(spark, folder):
     """The selection was repeated for the predictions."""
     rows = catalog._article_rows(Inputs(spark, folder))
